@@ -146,6 +146,29 @@ scored as (
 scored2 as (select *, 1 / (1 + pow(2, -match_weight)) as match_probability from scored)"""
 
 
+def linkage_ctes(parts: tuple, recs: str = RECS) -> str:
+    """The CTE chain (without WITH) from linkage records to scored pairs."""
+    ctes = [recs, POOLS]
+    if "pairs" in parts:
+        ctes.append(PAIRS)
+    if "lam" in parts:
+        ctes.append(_lam_cte())
+    if "u" in parts:
+        ctes.append(_u_ctes())
+    if "tf" in parts:
+        ctes.append(_tf_cte())
+    if "scored" in parts:
+        ctes.append(_scored_ctes())
+    return ",\n".join(ctes)
+
+
+BEST = """best as (
+  select record_id_l, match_probability, match_weight, constituent_r, record_id_r,
+         row_number() over (partition by record_id_l
+                            order by name_ok desc, round(match_weight, 9) desc, record_id_r) as rn
+  from scored2 where name_ok or email_ok)"""
+
+
 def with_linkage(body: str, parts: tuple) -> str:
     from .views import with_views
     ctes = [RECS, POOLS]
@@ -203,11 +226,7 @@ select record_id_l, record_id_r, match_key, round(match_weight, {R6}) as match_w
        round(match_probability, {R6}) as match_probability, name_ok, email_ok from scored2""",
                                    ("pairs", "lam", "u", "tf", "scored"))
     q["q28_best_match"] = with_linkage(f"""
-, best as (
-  select record_id_l, match_probability, match_weight, constituent_r, record_id_r,
-         row_number() over (partition by record_id_l
-                            order by name_ok desc, round(match_weight, 9) desc, record_id_r) as rn
-  from scored2 where name_ok or email_ok)
+, {BEST}
 select n.record_id, round(b.match_probability, {R6}) as match_probability, round(b.match_weight, {R6}) as match_weight,
        b.constituent_r as constituent, b.record_id_r as matched_record_id
 from recs n left join best b on b.record_id_l = n.record_id and b.rn = 1
