@@ -39,6 +39,10 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     if (master or "").startswith("local"):
         # local mode: the driver heap is the only executor memory there is
         conf["spark.driver.memory"] = os.environ.get("GIFTLINK_DRIVER_MEMORY", "16g")
+        # small test tables: keep several partitions per stage instead of
+        # letting AQE merge everything under 1 MB into one task
+        conf["spark.sql.adaptive.coalescePartitions.minPartitionSize"] = "128KB"
+        conf["spark.sql.files.openCostInBytes"] = "1MB"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

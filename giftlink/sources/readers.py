@@ -36,7 +36,7 @@ def read_report(spark: SparkSession, path: str, schema: StructType, skip_head: i
     trailer. Quoted fields holding a line break are not supported: such a
     line fails to parse and lands in ``_corrupt_record``."""
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields) + f", `{CORRUPT}` string"
-    files = spark.read.option("wholetext", True).text(path).select(
+    files = spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_path").alias("source_file"),
         F.split(F.regexp_replace("value", r"\r?\n$", ""), r"\r?\n").alias("lines"))
     lines = files.select("source_file", F.size("lines").alias("n"), F.posexplode("lines").alias("pos", "line"))

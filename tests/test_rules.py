@@ -1,0 +1,98 @@
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from giftlink.plans import feeds, pipeline
+from giftlink.plans import rulebook as RB
+
+STAMP = "20240301_20240331"
+
+
+def test_card_campaign_table(spark):
+    rows = [(None, "AUD", None), ("S1", "AUD", None), (None, "NZD", None), ("S1", "NZD", None),
+            (None, "GBP", None), ("S1", "GBP", None), (None, "CAD", None), ("S1", "AUD", "tax23"),
+            (None, "NZD", "xmas24"), (None, "AUD", "spring")]
+    df = spark.createDataFrame(rows, "sub string, cur string, cid string")
+    got = [r[0] for r in df.select(feeds.card_campaign(F.col("sub"), F.col("cur"), F.col("cid"))).collect()]
+    assert got == ["AUSG-DGAQ-HR", "AURG-DGAQ-HR", "NZSG-DGAQ-HR", "NZRG-DGAQ-HR", "UKSG-DGAQ-HR",
+                   "UKRG-DGAQ-HR", None, "AUSG-DMRN-HR-2302-D1", "AUSG-DMRN-HR-2404-W2", "AUSG-DGAQ-HR"]
+
+
+def test_card_reference_and_refund(spark):
+    rows = [("AUD", "AUSG-DGAQ-HR", None, 10.0), ("NZD", "NZRG-DGAQ-HR", None, -5.0),
+            ("AUD", "AUSG-DMRN-HR-2302-D1", "tax23", 1.0), ("NZD", "AUSG-DMRN-HR-2404-W2", "xmas24", 1.0),
+            ("CAD", None, None, -1.0)]
+    df = spark.createDataFrame(rows, "cur string, camp string, cid string, amt double")
+    got = [r[0] for r in df.select(feeds.card_reference(F.col("cur"), F.col("camp"), F.col("cid"), F.col("amt"),
+                                                        STAMP)).collect()]
+    assert got == [f"Braintree AU Online OO {STAMP}", f"Braintree NZ Online RG {STAMP} Refund",
+                   f"Braintree AU Online OO Tax Appeal {STAMP}", None, None]
+
+
+def test_code_book_first_row_wins_and_missing(spark):
+    codes = spark.createDataFrame(
+        [("AUSG-DGAQ-HR", "FA-1 x", "SG DIGI z", 0), ("AUSG-DGAQ-HR", "FA-2", "OTHER ONE", 1),
+         ("NZSG-DGAQ-HR", "FN-1", "ONETOKEN", 2)],
+        "CampaignID string, `DesignationID (Finance GL Codes)` string, AppealID string, ordinal int")
+    df = spark.createDataFrame([("AUSG-DGAQ-HR",), ("NZSG-DGAQ-HR",), ("MISSING",), (None,)],
+                               "`Originating Campaign` string")
+    out = feeds.with_codes(df, feeds.code_book(codes)).collect()
+    got = {r["Originating Campaign"]: (r["Primary Designation"], r["Appeal"], r["_code_found"]) for r in out}
+    assert got["AUSG-DGAQ-HR"] == ("FA-1", "SG DIGI", True)
+    assert got["NZSG-DGAQ-HR"] == ("FN-1", None, True)
+    assert got["MISSING"] == (None, None, False)
+    assert got[None] == (None, None, False)
+
+
+def test_anonymous_defaults(spark):
+    rows = [("AUD", None, None, None, None), ("NZD", None, "D", None, None), ("GBP", None, None, None, None),
+            ("CAD", None, None, None, None), ("AUD", "Ann", None, None, None)]
+    df = spark.createDataFrame(rows, "Currency string, Donor string, `Primary Designation` string, "
+                                     "`Originating Campaign` string, Appeal string")
+    df = df.withColumn("Anonymous", F.when(F.col("Donor").isNull(), "Yes").otherwise("No"))
+    out = pipeline.default_anonymous(df).collect()
+    assert tuple(out[0][1:5]) == ("Anonymous Anonymous", "FA-SGDM-1990", "AUSG-DMAQ-UN", "SG GENERAL")
+    assert tuple(out[1][1:5]) == ("Anonymous NZ", "D", None, None)
+    assert tuple(out[2][1:5]) == ("Anonymous UK", "FG-SGDM-1990", "UKSG-DMAQ-UN", "SG GENERAL")
+    assert tuple(out[3][1:5]) == (None, None, None, None)
+    assert out[4]["Donor"] == "Ann"
+
+
+def test_flags_table(spark):
+    card, other = "Braintree AU Online RG x", "AUSOGF x"
+    rows = [
+        (card, "S", "K", "1", 0.5, "check_conID", None),
+        (card, None, None, "1", 0.5, "check_conID", None),
+        (card, None, "K", None, None, "new_conID_new_payschedID", None),
+        (card, None, "K", "1", 0.5, "check_conID_new_payschedID", None),
+        (card, None, "K", "1", 0.9, "new_payschedID", None),
+        (card, "S", None, None, None, "new_conID", None),
+        (other, None, None, "1", 0.2, "check_conID", None),
+        (other, None, None, None, None, "new_conID", None),
+        (other, None, None, "1", None, "all_good", "id_without_probability"),
+        (other, None, None, None, 0.9, "all_good", "probability_without_id"),
+        (card, None, None, None, None, "all_good", "unmatched_one_off"),
+        (other, None, None, "1", 0.95, "all_good", None),
+    ]
+    df = spark.createDataFrame(rows, "`Data Entry Reference` string, `Payment Schedule` string, "
+                                     "join_on_payschedID string, msnfp_constituentnumber string, match_prob double, "
+                                     "want string, want_reason string")
+    for r in pipeline.flag(df).collect():
+        assert r["donor_flagger"] == r["want"], r
+        assert r["flag_reason"] == r["want_reason"], r
+
+
+def test_schedule_keys_and_text(spark):
+    sched = spark.createDataFrame(
+        [("Ann", "DIGI AU Braintree (SubID: S12 )", "1"), ("Bob", "DIGI AU Braintree (SubID: S1 )", "1"),
+         ("Cy", "DIGI AU Braintree (SubID: S7 )", "844060001"), ("Di", "DIGI AU Braintree (SubID: S8 )", None)],
+        "msnfp_customeridname string, msnfp_name string, statuscode string")
+    txn = spark.createDataFrame(
+        [(1, "Braintree AU Online RG x", "S1", "Zed", "AUD"), (2, "Braintree NZ Online RG x", "S12", "Zed", "NZD"),
+         (3, "Braintree AU Online RG x", None, "ann", "AUD"), (4, "Braintree AU Online RG x", "S7", "Zed", "AUD"),
+         (5, "Braintree AU Online OO x", None, None, "AUD")],
+        "id int, `Data Entry Reference` string, `Subscription ID` string, Donor string, Currency string")
+    out = pipeline.assign_schedule(txn, sched).orderBy("id").collect()
+    got = [(r["join_on_payschedID"], r["Payment Schedule"]) for r in out]
+    assert got == [("S1", "DIGI AU Braintree (SubID: S1 )"), ("S12", "DIGI NZ Braintree (SubID: S12 )"),
+                   (None, "DIGI AU Braintree (SubID: S12 )"), ("S7", None), (None, None)]

@@ -1,0 +1,67 @@
+import datetime as dt
+import glob
+import os
+
+from giftlink.sources import readers, schemas, sinks
+
+
+def write(path, text):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w", encoding="utf-8") as f:
+        f.write(text)
+
+
+def test_read_feed_keeps_text_columns(spark, tmpdir_path):
+    p = os.path.join(tmpdir_path, "card.csv")
+    header = ",".join(f.name for f in schemas.CARD.fields)
+    write(p, header + "\n2024-03-04,T1,,12.5,AUD,tax23,o'BRIEN,mary-jane,A@B.com,0412 345 678,Visa,0042\n")
+    rows = readers.read_feed(spark, p, schemas.CARD).collect()
+    assert rows[0]["Last Four of Credit Card"] == "0042"
+    assert rows[0]["Amount Submitted For Settlement"] == 12.5
+    assert rows[0]["Subscription ID"] is None
+
+
+def test_read_report_skips_preamble_and_trailer(spark, tmpdir_path):
+    p = os.path.join(tmpdir_path, "rep", "g2g.csv")
+    names = [f.name for f in schemas.WORKPLACE.fields]
+    body = "\n".join([
+        "Report generated", "Period March",
+        ",".join(names),
+        '123.0,Ann,Lee,"$1,000.00",Acme,a@b.c,Workplace Giving,C1',
+        "124.0,Bob,Ray,$50.00,Acme,b@b.c,Match,C2",
+        "Total,,,,,,,", "End of report"])
+    write(p, body + "\n")
+    df = readers.read_report(spark, os.path.join(tmpdir_path, "rep"), schemas.WORKPLACE, 2, 2)
+    rows = sorted(df.collect(), key=lambda r: r["Donation Confirmation Number"])
+    assert [r["Donation Confirmation Number"] for r in rows] == ["C1", "C2"]
+    assert rows[0]["Donation Amount"] == "$1,000.00"
+    assert rows[0]["_corrupt_record"] is None
+
+
+def test_read_period_folder_and_weekly(spark, tmpdir_path):
+    period = dt.date(2024, 3, 1)
+    header = ",".join(f.name for f in schemas.KARMA.fields)
+    write(os.path.join(tmpdir_path, "karma", "March 2024", "x.csv"),
+          header + "\n2024-03-02,10.0,Site,Payroll Giving,Monthly,A,B,e@x,nsw,1 St,Town,800,R1\n")
+    write(os.path.join(tmpdir_path, "karma", "February 2024", "x.csv"),
+          header + "\n2024-02-02,10.0,Site,Other,Monthly,A,B,e@x,nsw,1 St,Town,800,R0\n")
+    df = readers.read_period(spark, tmpdir_path, "karma", period, schemas.KARMA)
+    assert [r["Transaction Reference"] for r in df.collect()] == ["R1"]
+    wk = os.path.join(tmpdir_path, "weekly")
+    header = ",".join(f.name for f in schemas.INSIGHT.fields)
+    for i in range(3):
+        write(os.path.join(wk, f"w{i}.csv"),
+              header + f"\n2024-03-0{i + 1},2024-03-0{i + 1},W{i},C{i},ann,lee,1 St,Town,NSW,800,0412,a@b,10.0,Card\n")
+    w = readers.read_weekly(spark, wk, schemas.INSIGHT)
+    rows = w.collect()
+    assert len(rows) == 3 and len({r["source_file"] for r in rows}) == 3
+
+
+def test_write_report_round_trip(spark, tmpdir_path):
+    df = spark.createDataFrame([(1, "a"), (2, None)], "id int, `Book Date` string")
+    out = os.path.join(tmpdir_path, "out")
+    sinks.write_report(df, out, single_file=True)
+    files = glob.glob(os.path.join(out, "part-*.csv"))
+    assert len(files) == 1
+    text = open(files[0]).read().splitlines()
+    assert text[0] == "id,Book Date" and len(text) == 3
