@@ -1,0 +1,6 @@
+"""Streaming: nothing to build.
+
+The reference reads one month of exports in batch and has no stream, window,
+watermark or state (SURVEY §2.11). Monthly folders are read with
+``giftlink.sources.readers.read_period``.
+"""
