@@ -40,3 +40,13 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["record_id", "match_probability", "match_weight", "constituent", "matched_record_id"]
     assert df.count() >= 0
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_plan_has_no_nested_loop_or_row_udf(spark, name):
+    """No cartesian product, nested-loop join or row-at-a-time Python UDF in
+    any query; Python appears only as Arrow-batched evaluation."""
+    df = E.queries()[name](spark, SF0001)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
+        assert bad not in plan, (name, bad)
