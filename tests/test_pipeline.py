@@ -1,0 +1,61 @@
+import random
+
+import duckdb
+from pyspark.sql import functions as F
+
+from conftest import SF0001
+from giftlink.plans import queries_pipeline, rulebook, views
+from giftlink.plans.linkage import Linkage
+from giftlink.plans.oracle_linkage import BEST, RECS, linkage_ctes
+
+
+def test_one_row_per_transaction_and_flags_exhaustive(spark):
+    out = queries_pipeline.q30_action_flags(spark, SF0001)
+    n_in = views.donations(spark, SF0001).count()
+    rows = out.collect()
+    assert len(rows) == n_in
+    assert len({r["Identifier"] for r in rows}) == n_in
+    allowed = set(rulebook.FLAGS) | {rulebook.DEFAULT_FLAG}
+    assert {r["donor_flagger"] for r in rows} <= allowed
+    assert all(r["flag_reason"] is None or r["donor_flagger"] == rulebook.DEFAULT_FLAG for r in rows)
+
+
+def _skewed_people(n=1500, seed=1):
+    """A third of all records contain one short name ('ann'); the rest are
+    spread over many names."""
+    random.seed(seed)
+    rows = []
+    for i in range(n):
+        if i % 3 == 0:
+            name = random.choice(["ann", "anna lee", "joanne", "ann smith", "dianne"])
+        else:
+            name = f"person {i % 97} {random.choice(['x', 'y'])}"
+        side = "new" if i % 25 == 0 else "crm"
+        rows.append((i, name, None if i % 4 == 0 else f"{name.replace(' ', '.')}{i % 3}@ex.org",
+                     f"C{i % 5}", f"D{i % 7}", f"A{i % 3}", f"T{i % 2}", f"M{i % 11}",
+                     None, side, None if side == "new" else str(i)))
+    return rows
+
+
+SCHEMA = ("record_id long, name string, email string, campaign string, designation string, appeal string, "
+          "pay_type string, pay_method string, book_date date, side string, constituent string")
+
+
+def test_hot_pool_matches_brute_force(spark):
+    rows = _skewed_people()
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = {r["record_id"]: (None if r["match_probability"] is None else round(r["match_probability"], 6),
+                            r["constituent"])
+           for r in Linkage.build(df).best().collect()}
+    con = duckdb.connect()
+    con.execute(f"create table people ({SCHEMA.replace(' long', ' bigint')})")
+    con.executemany("insert into people values (" + ",".join("?" * 11) + ")", rows)
+    sql = ("with " + linkage_ctes(("pairs", "lam", "u", "tf", "scored"), RECS) + ",\n" + BEST +
+           "\nselect n.record_id, round(b.match_probability, 6), b.constituent_r from recs n "
+           "left join best b on b.record_id_l = n.record_id and b.rn = 1 where n.side = 'new'")
+    want = {r[0]: (r[1], r[2]) for r in con.sql(sql).fetchall()}
+    assert got == want
+    # the hot pool really is a third of the data
+    pools = {r["pool_id"]: r["n"] for r in Linkage.build(df).members.groupBy("pool_id")
+             .agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert pools["ann"] >= len(rows) // 3
