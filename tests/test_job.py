@@ -4,13 +4,13 @@ import duckdb
 from pyspark.sql import functions as F
 
 from conftest import SF0001
-from giftlink.plans import queries_pipeline, rulebook, views
+from giftlink.plans import queries_job, rulebook, views
 from giftlink.plans.linkage import Linkage
 from giftlink.plans.oracle_linkage import BEST, RECS, linkage_ctes
 
 
 def test_one_row_per_transaction_and_flags_exhaustive(spark):
-    out = queries_pipeline.q30_action_flags(spark, SF0001)
+    out = queries_job.q30_action_flags(spark, SF0001)
     n_in = views.donations(spark, SF0001).count()
     rows = out.collect()
     assert len(rows) == n_in
