@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from ..config import LINK_COLUMNS
 from . import rulebook as RB
-from .oracle_ingest import STAMP, _q, card_campaign_sql, card_reference_sql, cap_sql, title_sql, tokens_sql
+from .oracle_ingest import _q, card_campaign_sql, card_reference_sql, cap_sql, title_sql, tokens_sql
 from .oracle_linkage import BEST, linkage_ctes
 from .queries_job import CARD_FEED_EXPRS, CRM_EXPRS
 from .views import VIEW_SQL
