@@ -14,7 +14,8 @@ SF001 = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from giftlink.session import get_spark
-    s = get_spark("local[4]", 4, app="giftlink-tests")
+    s = get_spark("local[4]", 4, app="giftlink-tests",
+                  extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="giftlink-test-wh-")})
     s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="giftlink-test-ckpt-"))
     yield s
 
