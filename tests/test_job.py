@@ -59,3 +59,19 @@ def test_hot_pool_matches_brute_force(spark):
     pools = {r["pool_id"]: r["n"] for r in Linkage.build(df).members.groupBy("pool_id")
              .agg(F.count(F.lit(1)).alias("n")).collect()}
     assert pools["ann"] >= len(rows) // 3
+
+
+def test_run_with_crm_indexes_equals_without(spark, tmp_path):
+    from giftlink.plans import pipeline
+    from giftlink.plans.queries_ingest import AS_OF, _schedules
+    d = SF0001
+    crm = queries_job.crm_transactions(spark, d)
+    idx = pipeline.build_crm_indexes(crm, str(tmp_path / "crm-index"))
+
+    def go(indexes):
+        out = pipeline.run({"card": queries_job.card_feed(spark, d)}, queries_job.codes(spark, d),
+                           _schedules(spark, d), crm, queries_job.accounts(spark, d), AS_OF, indexes=indexes)
+        return sorted(tuple(r) for r in out.select("Identifier", "msnfp_constituentnumber", "match_prob",
+                                                    "donor_flagger").collect())
+
+    assert go(idx) == go(None)
