@@ -65,3 +65,15 @@ def test_write_report_round_trip(spark, tmpdir_path):
     assert len(files) == 1
     text = open(files[0]).read().splitlines()
     assert text[0] == "id,Book Date" and len(text) == 3
+
+
+def test_read_period_partitioned_layout_prunes(spark, tmpdir_path):
+    header = ",".join(f.name for f in schemas.KARMA.fields)
+    for period, ref in (("2024-03", "R3"), ("2024-02", "R2")):
+        for feed in ("karma", "other"):
+            write(os.path.join(tmpdir_path, f"feed={feed}", f"period={period}", "x.csv"),
+                  header + f"\n2024-03-02,10.0,Site,Other,Monthly,A,B,e@x,nsw,1 St,Town,800,{feed}-{ref}\n")
+    df = readers.read_period(spark, tmpdir_path, "karma", dt.date(2024, 3, 1), schemas.KARMA, layout="partitioned")
+    assert [r["Transaction Reference"] for r in df.collect()] == ["karma-R3"]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "period" in plan.split("PartitionFilters: [", 1)[1].split("]", 1)[0]
