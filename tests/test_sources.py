@@ -77,3 +77,12 @@ def test_read_period_partitioned_layout_prunes(spark, tmpdir_path):
     assert [r["Transaction Reference"] for r in df.collect()] == ["karma-R3"]
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "period" in plan.split("PartitionFilters: [", 1)[1].split("]", 1)[0]
+
+
+def test_read_table_pushes_projection_and_predicate(spark):
+    from pyspark.sql import functions as F
+    df = readers.read_table(spark, "/root/testdata/sf0.001/customer.parquet", ["c_custkey", "c_name"],
+                            F.col("c_custkey") < 10)
+    assert df.count() == 10
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "LessThan(c_custkey,10)" in plan and "ReadSchema: struct<c_custkey:bigint,c_name:string>" in plan
