@@ -96,3 +96,13 @@ def test_schedule_keys_and_text(spark):
     got = [(r["join_on_payschedID"], r["Payment Schedule"]) for r in out]
     assert got == [("S1", "DIGI AU Braintree (SubID: S1 )"), ("S12", "DIGI NZ Braintree (SubID: S12 )"),
                    (None, "DIGI AU Braintree (SubID: S12 )"), ("S7", None), (None, None)]
+
+
+def test_code_book_reject_count(spark):
+    from giftlink.operators.lookup import count_rejects
+    codes = spark.createDataFrame([("AUSG-DGAQ-HR", "FA-1", "SG DIGI", 0)],
+                                  "CampaignID string, `DesignationID (Finance GL Codes)` string, AppealID string, "
+                                  "ordinal int")
+    df = spark.createDataFrame([("AUSG-DGAQ-HR",), ("MISSING",), ("OTHER",), (None,)], "`Originating Campaign` string")
+    out = feeds.with_codes(df, feeds.code_book(codes))
+    assert count_rejects(out, "_code_found").first()["rejects"] == 3
