@@ -76,6 +76,14 @@ def read_weekly(spark: SparkSession, folder: str, schema: StructType, fmt: str =
     return df.withColumn("source_file", F.col("_metadata.file_path"))
 
 
+def read_code_book(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A5: the campaign code book with an ``ordinal`` in file order, so
+    ``feeds.code_book`` can keep the first row of a repeated campaign. The
+    ordinal is taken right after the scan, where row ids follow the file's
+    own order (partition by partition, offset by offset)."""
+    return read_feed(spark, path, schema).withColumn("ordinal", F.monotonically_increasing_id())
+
+
 def read_table(spark: SparkSession, source, columns: list | None = None, predicate=None) -> DataFrame:
     """A5/A6: a reference or CRM table from a parquet path or JDBC options
     (dict with url, dbtable, ...). Column selection and the predicate are

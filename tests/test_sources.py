@@ -86,3 +86,12 @@ def test_read_table_pushes_projection_and_predicate(spark):
     assert df.count() == 10
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "LessThan(c_custkey,10)" in plan and "ReadSchema: struct<c_custkey:bigint,c_name:string>" in plan
+
+
+def test_read_code_book_first_row_wins(spark, tmpdir_path):
+    from giftlink.plans import feeds
+    p = os.path.join(tmpdir_path, "codes.csv")
+    write(p, "CampaignID,DesignationID (Finance GL Codes),AppealID\n"
+             "AUSG-DGAQ-HR,FA-1 first,SG DIGI one\nAUSG-DGAQ-HR,FA-2 second,SG OTHER two\n")
+    book = feeds.code_book(readers.read_code_book(spark, p, schemas.CODE_BOOK)).collect()
+    assert [(r["_designation"], r["_appeal"]) for r in book] == [("FA-1", "SG DIGI")]
