@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from giftlink.llm import chat_format, packing, sentence_pieces, token_counts, url_filter
+from giftlink.llm import (chat_format, cotraining, hamming_topk, order_minhash, packing, permutation_index,
+                          sentence_pieces, suffix_dedup, token_counts, url_filter)
 from giftlink.llm.common import table
 from pyspark.sql import functions as F
 
@@ -11,19 +12,38 @@ URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"),
 _RULE_VALUES = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
 
 
+def op1_cotraining(spark, sf_dir):
+    return cotraining.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), with_ids=False)
 
 
+def op3_hamming_topk(spark, sf_dir):
+    codes = hamming_topk.sign_codes(table(spark, sf_dir, "embeddings"))
+    return hamming_topk.search(codes, codes.where("vec_id % 100 = 0"))
+
+
 def op4_token_counts(spark, sf_dir):
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op5_suffix_dedup(spark, sf_dir):
+    out = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_url_filter(spark, sf_dir):
     rules = spark.sql(f"select * from values {_RULE_VALUES} as t(host, path, verdict)")
     return url_filter.filter_urls(table(spark, sf_dir, "pages"), rules)
 
 
+def op7_permutation_index(spark, sf_dir):
+    return permutation_index.search(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
 def op8_sentence_pieces(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     back = sentence_pieces.decode(sentence_pieces.encode(docs))
@@ -36,10 +56,25 @@ def op9_chat_format(spark, sf_dir):
     return chat_format.rotate(table(spark, sf_dir, "conversations"))
 
 
-QUERIES = {f.__name__: f for f in (op2_packing, op4_token_counts, op6_url_filter, op8_sentence_pieces,
-                                   op9_chat_format)}
+def op10_order_minhash(spark, sf_dir):
+    return order_minhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
+
+
+QUERIES = {f.__name__: f for f in (op1_cotraining, op2_packing, op3_hamming_topk, op4_token_counts, op5_suffix_dedup,
+                                   op6_url_filter, op7_permutation_index, op8_sentence_pieces,
+                                   op9_chat_format, op10_order_minhash)}
 
 ORACLES = {
+    "op3_hamming_topk": f"""
+with v as (
+  select vec_id, embedding as e from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+d as (
+  select q.vec_id as query_id, v.vec_id,
+         cast(len(list_filter(list_zip(q.e, v.e), lambda z: (z[1] > 0) <> (z[2] > 0))) as integer) as distance
+  from v as q, v where q.vec_id % 100 = 0),
+r as (select *, row_number() over (partition by query_id order by distance, vec_id) as rank from d)
+select query_id, cast(rank as integer) as rank, vec_id, distance from r where rank <= {hamming_topk.K}""",
     "op6_url_filter": f"""
 with rules(rhost, rpath, v) as (values {_RULE_VALUES}),
 cut as (

@@ -1,0 +1,118 @@
+"""Suffix-array dedup against a count of every string."""
+
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from giftlink.llm import suffix_dedup as S
+
+
+def brute(texts, length):
+    """(removed mask) per text by counting all strings."""
+    raws = [(t or "").encode() for t in texts]
+    seen = Counter(r[i:i + length] for r in raws for i in range(len(r) - length + 1))
+    out = []
+    for r in raws:
+        mask = np.zeros(len(r), bool)
+        for i in range(len(r) - length + 1):
+            if seen[r[i:i + length]] > 1:
+                mask[i:i + length] = True
+        out.append(mask)
+    return out
+
+
+def result(spark, texts, ids=None, **settings):
+    rows = [(ids[i] if ids else i, t, i, "x", 1) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, place long, th string, s int").repartition(3)
+    return {r.place: r for r in S.remove_repeats(df, keep=["doc_id", "place"], **settings).collect()}
+
+
+def check(spark, texts, length, **settings):
+    got, want = result(spark, texts, length=length, **settings), brute(texts, length)
+    assert len(got) == len(texts)
+    for i, t in enumerate(texts):
+        raw, mask = (t or "").encode(), want[i]
+        runs = [(r.s, r.e) for r in got[i].spans]
+        assert runs == S.runs_of(mask), (i, runs, S.runs_of(mask))
+        assert got[i].kept == bytes(b for b, m in zip(raw, mask) if not m)
+        assert (got[i].n_bytes, got[i].n_removed) == (len(raw), int(mask.sum()))
+
+
+def words(rnd, n, alphabet="abcdefghij é"):
+    return "".join(rnd.choice(alphabet) for _ in range(n))
+
+
+def corpus(seed):
+    rnd = random.Random(seed)
+    passage, other = words(rnd, 60), words(rnd, 35)
+    texts = [None, "", "short", words(rnd, 20), passage, passage + passage, "ab" * 60, "ab" * 41, "a" * 90, "a" * 21]
+    for _ in range(25):
+        t = words(rnd, rnd.randint(0, 60))
+        t += rnd.choice([passage, passage[5:], passage[:40], other, other[3:30], ""]) + words(rnd, rnd.randint(0, 30))
+        texts.append(t)
+    near = words(rnd, 150)
+    for _ in range(10):
+        i = rnd.randrange(len(near))
+        texts.append(near[:i] + "Z" + near[i + 1:])
+    return texts + [texts[10], texts[11], near, near]
+
+
+@pytest.mark.parametrize("seed,settings", [(1, {}), (2, {"chunk": 16}), (3, {"max_contexts": 2}),
+                                           (4, {"batch_bytes": 64}), (5, {"gram": 1}), (6, {"gram": 20})])
+def test_equals_brute_force(spark, seed, settings):
+    check(spark, corpus(seed), 20, **{"gram": 7, **settings})
+
+
+def test_production_parameters(spark):
+    rnd = random.Random(9)
+    passage = words(rnd, 700)
+    texts = [words(rnd, 900) + passage + words(rnd, 300), passage[:420], passage[100:499], words(rnd, 3000),
+             "x" * 1200, passage + "!", words(rnd, 200), "é" * 199, "é" * 200, "é" * 201]
+    check(spark, texts, 400)
+
+
+def test_repeated_ids_and_empty_tables(spark):
+    got = result(spark, ["a" * 30, "a" * 30, None], ids=[None, 7, 7], length=20, gram=5)
+    assert [got[i].n_removed for i in range(3)] == [30, 30, 0]
+    assert result(spark, []) == {}
+    assert result(spark, [None, "", "a"])[2].kept == b"a"
+
+
+def test_order_is_the_suffix_order():
+    rnd = random.Random(4)
+    powers = S.Powers()
+    for _ in range(60):
+        raw = bytes(rnd.choice(b"ab") for _ in range(rnd.randint(1, 80)))
+        n = rnd.randint(1, 40)
+        start = np.array([rnd.randrange(len(raw)) for _ in range(n)])
+        size = np.array([rnd.randint(0, len(raw) - s) for s in start])
+        group = np.sort(np.array([rnd.randrange(4) for _ in range(n)]))
+        x = S.Suffixes(np.frombuffer(raw, np.uint8), start, size, group, powers)
+        key = [(g, raw[s:s + z]) for g, s, z in zip(group, start, size)]
+        order, lcp = x.sorted_with_extensions()
+        assert [key[i] for i in order] == sorted(key)
+        assert [key[i] for i in x.order()] == sorted(key)
+        for a, b, n_ in zip(order, order[1:], lcp[1:]):
+            if key[a][0] != key[b][0]:
+                assert n_ == -1
+            else:
+                p, q = key[a][1], key[b][1]
+                assert p[:n_] == q[:n_] and (n_ in (len(p), len(q)) or p[n_] != q[n_])
+
+
+def test_hash_collisions_are_caught():
+    class Bad(S.Hashed):
+        def of(self, start, length):
+            return super().of(start, length) & np.uint64(1)
+
+    raw = hashlib.sha512(b"x").hexdigest().encode()
+    x = S.Suffixes(np.frombuffer(raw, np.uint8), np.arange(60), np.full(60, 8), np.zeros(60, int), S.Powers())
+    x.hashed = Bad(x.buf, S.Powers())
+    order, lcp = x.sorted_with_extensions()
+    assert [raw[i:i + 8] for i in order] == sorted(raw[i:i + 8] for i in range(60))
+    for a, b, n in zip(order, order[1:], lcp[1:]):
+        p, q = raw[a:a + 8], raw[b:b + 8]
+        assert p[:n] == q[:n] and (n == 8 or p[n] != q[n])
