@@ -13,8 +13,8 @@ CARD_CAMPAIGN = {
 # Seasonal campaign override: marker in Campaign Id -> prefix, suffix
 # around the two-digit year taken from its last two characters.
 SEASONAL = (
-    ("tax", "AUSG-DMRN-HR-", "02-D1", "Tax Appeal"),
-    ("xmas", "AUSG-DMRN-HR-", "04-W2", "Xmas Appeal"),
+    ("tax", "AUSG-DMRN-HR-", "02-D1"),
+    ("xmas", "AUSG-DMRN-HR-", "04-W2"),
 )
 # Card gateway reference text: (currency, campaign) -> middle part.
 CARD_REFERENCE = (
@@ -25,8 +25,9 @@ CARD_REFERENCE = (
     ("NZD", "NZRG-DGAQ-HR", "Braintree NZ Online RG"),
     ("GBP", "UKRG-DGAQ-HR", "Braintree UK Online RG"),
 )
+# Reference text of the seasonal campaigns (AUD only), in SEASONAL's order.
 SEASONAL_REFERENCE_CURRENCY = "AUD"
-SEASONAL_REFERENCE_PREFIX = "Braintree AU Online OO"
+SEASONAL_REFERENCE = ("Braintree AU Online OO Tax Appeal", "Braintree AU Online OO Xmas Appeal")
 REFUND_SUFFIX = " Refund"
 CARD_FEED_MARKER = "Braintree"
 RECURRING_MARKER = "RG"

@@ -15,6 +15,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_WRITTEN: list = []
+
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -37,12 +39,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
     if (master or "").startswith("local"):
-        # local mode: the driver heap is the only executor memory there is
-        conf["spark.driver.memory"] = os.environ.get("GIFTLINK_DRIVER_MEMORY", "16g")
-        # small test tables: keep several partitions per stage instead of
-        # letting AQE merge everything under 1 MB into one task
-        conf["spark.sql.adaptive.coalescePartitions.minPartitionSize"] = "128KB"
-        conf["spark.sql.files.openCostInBytes"] = "1MB"
+        # local mode: the driver heap is the only executor memory there is;
+        # nothing else differs from a cluster
+        conf["spark.driver.memory"] = os.environ.get("GIFTLINK_DRIVER_MEMORY", "8g")
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -85,4 +84,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     base = checkpoint_dir(spark)
     path = os.path.join(base, f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
+    _WRITTEN.append(path)
     return spark.read.parquet(path)
+
+
+def drop_materialized(spark: SparkSession) -> int:
+    """Delete the tables that ``materialize`` has written in this process.
+    Call it when a job's results are stored: plans that still read them fail
+    afterwards. Returns how many were deleted."""
+    jvm, n = spark.sparkContext._jvm, 0
+    while _WRITTEN:
+        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        n += bool(fs.delete(path, True))
+    return n

@@ -1,4 +1,7 @@
-"""Declared schemas of the six raw feeds (FIXTURES §1)."""
+"""Declared schemas of the six raw feeds (FIXTURES §1).
+
+Fixed values: the column names are the export platforms' own and must match
+their headers. Files are read by header name, so their order here is free."""
 
 from __future__ import annotations
 

@@ -2,6 +2,8 @@ import datetime as dt
 import glob
 import os
 
+import pytest
+
 from giftlink.sources import readers, schemas, sinks
 
 
@@ -67,7 +69,7 @@ def test_write_report_round_trip(spark, tmpdir_path):
     assert text[0] == "id,Book Date" and len(text) == 3
 
 
-def test_read_period_partitioned_layout_prunes(spark, tmpdir_path):
+def test_read_period_partitioned_layout_lists_one_month(spark, tmpdir_path):
     header = ",".join(f.name for f in schemas.KARMA.fields)
     for period, ref in (("2024-03", "R3"), ("2024-02", "R2")):
         for feed in ("karma", "other"):
@@ -75,8 +77,49 @@ def test_read_period_partitioned_layout_prunes(spark, tmpdir_path):
                   header + f"\n2024-03-02,10.0,Site,Other,Monthly,A,B,e@x,nsw,1 St,Town,800,{feed}-{ref}\n")
     df = readers.read_period(spark, tmpdir_path, "karma", dt.date(2024, 3, 1), schemas.KARMA, layout="partitioned")
     assert [r["Transaction Reference"] for r in df.collect()] == ["karma-R3"]
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [" in plan and "period" in plan.split("PartitionFilters: [", 1)[1].split("]", 1)[0]
+    assert all("feed=karma/period=2024-03" in f for f in df.inputFiles())
+
+
+def test_columns_are_read_by_header_name(spark, tmpdir_path):
+    """Extra, reordered and missing columns; two files of one folder with
+    different headers; a short line and a value that does not cast."""
+    names = [f.name for f in schemas.KARMA.fields]
+    row = dict(zip(names, ["2024-03-02", "10.5", "Site", "Other", "Monthly", "A", "B", "e@x", "nsw", "1 St", "Town",
+                           "0800", "R1"]))
+    turned = ["Extra", *reversed(names)]
+    folder = os.path.join(tmpdir_path, "k w")
+    write(os.path.join(folder, "a.csv"), ",".join(names) + "\n" + ",".join(row[n] for n in names) + "\n")
+    write(os.path.join(folder, "b.csv"), ",".join(turned) + "\n"
+          + ",".join({**row, "Transaction Reference": "R2", "Amount": "ten"}.get(n, "?") for n in turned) + "\nshort,line\n")
+    every = readers.read_weekly(spark, folder, schemas.KARMA).collect()
+    rows = {r["Transaction Reference"]: r for r in every if r["_corrupt_record"] is None}
+    assert rows["R1"]["Amount"] == 10.5 and rows["R1"]["Post Code"] == "0800" and rows["R1"]["_bad_values"] == []
+    assert rows["R2"]["Site"] == "Site" and rows["R2"]["Amount"] is None and rows["R2"]["_bad_values"] == ["Amount"]
+    assert [r["_corrupt_record"] for r in every if r["_corrupt_record"]] == ["short,line"] and len(every) == 3
+    write(os.path.join(tmpdir_path, "bad.csv"), "Date,Amount\n2024-03-02,1\n")
+    with pytest.raises(ValueError, match="Transaction Reference"):
+        readers.read_feed(spark, os.path.join(tmpdir_path, "bad.csv"), schemas.KARMA)
+
+
+def test_report_by_header_name_over_many_splits(spark, tmpdir_path):
+    """Preamble and trailer are found by line number although the file is
+    read in many splits; columns go by name."""
+    names = [*reversed([f.name for f in schemas.WORKPLACE.fields]), "Notes, extra"]
+    good = {"Good2Give Donor Id": "123.0", "Donor Firstname": "Ann", "Donor Lastname": "Lee", "Donation Amount": "$1.50",
+            "Employer Name": '"Acme, Inc"', "Donor Email": "a@b.c", "Donation Type": "Match"}
+    lines = ["Report", "March", ",".join(f'"{n}"' for n in names)]
+    lines += [",".join({**good, "Donation Confirmation Number": f"C{i}"}.get(n, "x") for n in names) for i in range(400)]
+    p = os.path.join(tmpdir_path, "rep", "g2g.csv")
+    write(p, "\r\n".join([*lines, "Total", "End"]) + "\r\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        df = readers.read_report(spark, os.path.join(tmpdir_path, "rep"), schemas.WORKPLACE, 2, 2)
+        rows = df.collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert sorted(r["Donation Confirmation Number"] for r in rows) == sorted(f"C{i}" for i in range(400))
+    assert {(r["Employer Name"], r["Good2Give Donor Id"], r["_corrupt_record"]) for r in rows} == {("Acme, Inc", 123.0, None)}
 
 
 def test_read_table_pushes_projection_and_predicate(spark):
