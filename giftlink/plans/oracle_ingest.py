@@ -21,7 +21,7 @@ def card_campaign_sql(sub="sub_id", cur="currency", cid="campaign_id") -> str:
     base = " ".join(f"when {sub} is {'not ' if has else ''}null and {cur} = {_q(k)} then {_q(v)}"
                     for (has, k), v in RB.CARD_CAMPAIGN.items())
     seas = " ".join(f"when contains({cid}, {_q(m)}) then {_q(p)} || right({cid}, 2) || {_q(s)}"
-                    for m, p, s, _ in RB.SEASONAL)
+                    for m, p, s in RB.SEASONAL)
     return f"case {seas} else (case {base} end) end"
 
 
@@ -29,7 +29,7 @@ def card_reference_sql(cur="currency", camp="campaign", cid="campaign_id", amoun
     parts = [f"when {cur} = {_q(k)} and {camp} = {_q(v)} then {_q(label + ' ' + STAMP)}"
              for k, v, label in RB.CARD_REFERENCE]
     parts += [f"when {cur} = 'AUD' and {camp} = {_q(p)} || right({cid}, 2) || {_q(s)} "
-              f"then {_q(RB.SEASONAL_REFERENCE_PREFIX + ' ' + name + ' ' + STAMP)}" for _, p, s, name in RB.SEASONAL]
+              f"then {_q(label + ' ' + STAMP)}" for (_, p, s), label in zip(RB.SEASONAL, RB.SEASONAL_REFERENCE)]
     base = "case " + " ".join(parts) + " end"
     return f"case when {amount} < 0 then ({base}) || ' Refund' else ({base}) end"
 
@@ -199,7 +199,7 @@ acc as (select name, min(msnfp_constituentnumber) as acc
         from (select distinct * from ({select_sql(ACCOUNT_EXPRS, 'supplier')})) group by name)
 select txn_id,
        case when coalesce(contains(ref, 'Matched'), false) and coalesce(contains(donor, 'Anonymous'), false)
-            then acc.acc else g.constituent end as msnfp_constituentnumber
+            then coalesce(acc.acc, g.constituent) else g.constituent end as msnfp_constituentnumber
 from g left join acc on g.org = acc.name"""
     dflt = {col: " ".join(f"when all_null and \"Currency\" = {_q(cur)} then {_q(vals[i])}"
                           for cur, vals in RB.ANONYMOUS.items())

@@ -56,8 +56,13 @@ def _cols(prefix: str, suffix: str) -> str:
     return ", ".join(f"{prefix}.{c} as {c}_{suffix}" for c in LINK_COLUMNS)
 
 
-PAIRS = f"""anchors as (select r.*, lower(r.name) as pool_id from recs r where r.side = 'new' and r.name is not null),
-pairs as (
+SELF_ANCHORS = """anchors as (
+  select r.*, lower(r.name) as pool_id from recs r where r.side = 'new' and r.name is not null)"""
+LATEST_ANCHORS = """anchors as (
+  select r.*, p.pool_id
+  from (select pool_id, arg_max(record_id, (book_date is not null, book_date, -record_id)) as latest_id
+        from pm group by pool_id) p join recs r on r.record_id = p.latest_id)"""
+PAIRS = f"""pairs as (
   select a.pool_id, a.record_id as record_id_l, m.record_id as record_id_r, {_cols('a', 'l')}, {_cols('m', 'r')},
          m.constituent as constituent_r, {FIRST_RULE} as match_key
   from anchors a join pm m on m.pool_id = a.pool_id and m.side = 'crm' and m.record_id <> a.record_id
@@ -146,11 +151,11 @@ scored as (
 scored2 as (select *, 1 / (1 + pow(2, -match_weight)) as match_probability from scored)"""
 
 
-def linkage_ctes(parts: tuple, recs: str = RECS) -> str:
+def linkage_ctes(parts: tuple, recs: str = RECS, anchors: str = SELF_ANCHORS) -> str:
     """The CTE chain (without WITH) from linkage records to scored pairs."""
     ctes = [recs, POOLS]
     if "pairs" in parts:
-        ctes.append(PAIRS)
+        ctes += [anchors, PAIRS]
     if "lam" in parts:
         ctes.append(_lam_cte())
     if "u" in parts:
@@ -163,26 +168,15 @@ def linkage_ctes(parts: tuple, recs: str = RECS) -> str:
 
 
 BEST = """best as (
-  select record_id_l, match_probability, match_weight, constituent_r, record_id_r,
-         row_number() over (partition by record_id_l
+  select pool_id, record_id_l, match_probability, match_weight, constituent_r, record_id_r,
+         row_number() over (partition by pool_id, record_id_l
                             order by name_ok desc, round(match_weight, 9) desc, record_id_r) as rn
   from scored2 where name_ok or email_ok)"""
 
 
-def with_linkage(body: str, parts: tuple) -> str:
+def with_linkage(body: str, parts: tuple, anchors: str = SELF_ANCHORS) -> str:
     from .views import with_views
-    ctes = [RECS, POOLS]
-    if "pairs" in parts:
-        ctes.append(PAIRS)
-    if "lam" in parts:
-        ctes.append(_lam_cte())
-    if "u" in parts:
-        ctes.append(_u_ctes())
-    if "tf" in parts:
-        ctes.append(_tf_cte())
-    if "scored" in parts:
-        ctes.append(_scored_ctes())
-    return with_views("with " + ",\n".join(ctes) + "\n" + body, "people")
+    return with_views("with " + linkage_ctes(parts, anchors=anchors) + "\n" + body, "people")
 
 
 R6 = 6
@@ -231,4 +225,10 @@ select n.record_id, round(b.match_probability, {R6}) as match_probability, round
        b.constituent_r as constituent, b.record_id_r as matched_record_id
 from recs n left join best b on b.record_id_l = n.record_id and b.rn = 1
 where n.side = 'new'""", ("pairs", "lam", "u", "tf", "scored"))
+    q["q31_latest_anchor"] = with_linkage(f"""
+, {BEST}
+select n.record_id, round(b.match_probability, {R6}) as match_probability, round(b.match_weight, {R6}) as match_weight,
+       b.constituent_r as constituent, b.record_id_r as matched_record_id
+from recs n left join best b on b.pool_id = lower(n.name) and b.rn = 1
+where n.side = 'new'""", ("pairs", "lam", "u", "tf", "scored"), LATEST_ANCHORS)
     return q

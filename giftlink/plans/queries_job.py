@@ -1,4 +1,4 @@
-"""q30: the whole job (P7) on TESTDATA: donations as a card-gateway export,
+"""q30, q32: the whole job (P7) on TESTDATA: donations as a card-gateway export,
 customers as the CRM, schedules from customers; output is the flagged
 transaction table."""
 
@@ -31,6 +31,12 @@ CARD_FEED_RENAME = {
     "first_name": "Customer First Name", "last_name": "Customer Last Name", "email": "Customer Email", "phone": "Customer Phone",
     "card_type": "Card Type", "last_four": "Last Four of Credit Card",
 }
+# The same export with transaction ids that are null or repeat; the job must
+# return one linked row per row all the same.
+REPEATING_FEED_EXPRS = [
+    "case when cast(txn_id as bigint) % 5 = 0 then null"
+    " when cast(txn_id as bigint) % 5 = 1 then 'T' || cast(cast(txn_id as bigint) % 50 as varchar(9))"
+    " else txn_id end as txn_id" if e == "txn_id" else e for e in CARD_FEED_EXPRS]
 # CRM transactions (one per customer) derived from the customer table.
 CRM_EXPRS = [
     "c_custkey as msnfp_transactionid",
@@ -48,8 +54,8 @@ CRM_EXPRS = [
 ]
 
 
-def card_feed(spark, sf_dir) -> DataFrame:
-    return views.donations(spark, sf_dir).selectExpr(*CARD_FEED_EXPRS).withColumnsRenamed(CARD_FEED_RENAME)
+def card_feed(spark, sf_dir, exprs: list | None = None) -> DataFrame:
+    return views.donations(spark, sf_dir).selectExpr(*(exprs or CARD_FEED_EXPRS)).withColumnsRenamed(CARD_FEED_RENAME)
 
 
 def crm_transactions(spark, sf_dir) -> DataFrame:
@@ -67,16 +73,30 @@ def codes(spark, sf_dir) -> DataFrame:
          "appeal_code": "AppealID"})
 
 
-def run_job(spark, sf_dir) -> DataFrame:
-    return pipeline.run({"card": card_feed(spark, sf_dir)}, codes(spark, sf_dir), _schedules(spark, sf_dir),
+def schedules(spark, sf_dir) -> DataFrame:
+    """Customer names written as the feed's donors are, so that the name
+    rule (J5) finds schedules."""
+    return _schedules(spark, sf_dir).withColumn(
+        "msnfp_customeridname", F.replace("msnfp_customeridname", F.lit("#"), F.lit(" ")))
+
+
+def run_job(spark, sf_dir, exprs: list | None = None) -> DataFrame:
+    return pipeline.run({"card": card_feed(spark, sf_dir, exprs)}, codes(spark, sf_dir), schedules(spark, sf_dir),
                         crm_transactions(spark, sf_dir), accounts(spark, sf_dir), AS_OF)
 
 
-def q30_action_flags(spark, sf_dir):
-    out = run_job(spark, sf_dir)
+def _flagged(out: DataFrame) -> DataFrame:
     return out.select("Identifier", "Book Date", "Currency", "Payment Schedule", "join_on_payschedID",
                       "msnfp_constituentnumber", F.round("match_prob", R6).alias("match_prob"),
                       "donor_flagger", "flag_reason")
 
 
-QUERIES = {"q30_action_flags": q30_action_flags}
+def q30_action_flags(spark, sf_dir):
+    return _flagged(run_job(spark, sf_dir))
+
+
+def q32_repeated_identifiers(spark, sf_dir):
+    return _flagged(run_job(spark, sf_dir, REPEATING_FEED_EXPRS))
+
+
+QUERIES = {f.__name__: f for f in (q30_action_flags, q32_repeated_identifiers)}

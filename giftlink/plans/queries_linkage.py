@@ -82,6 +82,13 @@ def q28_best_match(spark, sf_dir):
                     F.round("match_weight", R6).alias("match_weight"), "constituent", "matched_record_id")
 
 
+def q31_latest_anchor(spark, sf_dir):
+    """Best match with one anchor per pool, its latest record."""
+    b = _linkage(spark, sf_dir, LinkageSettings(anchor="latest")).best()
+    return b.select("record_id", F.round("match_probability", R6).alias("match_probability"),
+                    F.round("match_weight", R6).alias("match_weight"), "constituent", "matched_record_id")
+
+
 QUERIES = {f.__name__: f for f in (
     q19_candidates, q20_containment_pools, q21_pool_sizes, q22_comparison_vectors, q23_global_blocking,
-    q24_pool_anchor, q25_lambda, q26_u_tf, q27_scores, q28_best_match)}
+    q24_pool_anchor, q25_lambda, q26_u_tf, q27_scores, q28_best_match, q31_latest_anchor)}

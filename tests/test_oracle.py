@@ -20,7 +20,10 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    """All but those of the optional subpackage that SQL cannot state."""
+    without = set(E.queries()) - set(E.oracle_sql())
+    assert not set(E.oracle_sql()) - set(E.queries())
+    assert all(n.startswith("op") or n == "pipeline" for n in without)
 
 
 @pytest.mark.parametrize("name", NAMES)
