@@ -1,7 +1,7 @@
 """Exact top-k search over binary codes: incremental multi-index hashing.
 
-A 64-bit code is cut into ``m`` segments, about ``64 / log2(codes)`` of them,
-and every segment is indexed by its value. A round with radius ``s`` probes,
+A 64-bit code is cut into ``m`` segments and every segment is indexed by its
+value; ``m`` is the number with the least expected work for as many codes. A round with radius ``s`` probes,
 for each query that is still open, every segment value at Hamming distance
 ``s``; with the rounds before, all values up to ``s``. A code at distance
 ``m * (s + 1) - 1`` or less differs in ``s`` bits or fewer in some segment, so
@@ -13,6 +13,8 @@ be in a result), so a code that very many rows share costs one entry. Probes
 are equi-joined with the index; a hit is verified inside the join and goes on
 only if it is no farther than the query's kth distance so far. Each round's
 hits are written to the shared folder; the driver reads one count per round.
+Probes are made from few queries by an explode, so their small files say
+nothing about their size: the join is asked for as a shuffle join.
 
 Defined results: the codes of vectors are the signs of their components (64
 of them; longer vectors are folded, shorter ones padded with zero bits);
@@ -59,6 +61,26 @@ def segments(m: int) -> list:
     return [(a, b - a) for a, b in zip(cuts, cuts[1:])]
 
 
+def choose_segments(n: int, k: int) -> int:
+    """The number of segments with the least expected probes and candidates
+    per query, if ``n`` codes were random: the kth distance r is where the
+    binomial count of nearer codes reaches k, radius s must cover it, and a
+    probe of w bits meets n / 2**w codes. A probe, which is shuffled, counts
+    as four candidates, which are compared in place."""
+    near, r = 0.0, 0
+    for r in range(BITS + 1):
+        near += n * math.comb(BITS, r) / 2.0 ** BITS
+        if near >= k:
+            break
+
+    def cost(m):
+        s, w = (r + m) // m - 1, BITS / m
+        probes = m * sum(math.comb(round(w), i) for i in range(min(s, round(w)) + 1))
+        return probes * (4 + n / 2.0 ** w)
+
+    return min(range(2, 17), key=cost)
+
+
 def _value(code: Column, shift: int, width: int) -> Column:
     return F.shiftrightunsigned(code, shift).bitwiseAND(F.lit((1 << width) - 1).cast("long"))
 
@@ -81,7 +103,7 @@ def search(codes: DataFrame, queries: DataFrame, k: int = K, id_col: str = "vec_
     entries = common.written(ranked.groupBy("code").agg(F.sort_array(F.collect_list(
         F.struct(F.col(id_col).isNull().alias("u"), F.col(id_col).alias("id")))).alias("ids")), "codes")
     n = entries.count()
-    m = min(16, max(2, round(BITS / math.log2(max(n, 2)))))
+    m = choose_segments(n, k)
     parts = segments(m)
     index = common.written(entries.select("code", F.size("ids").alias("rows"), F.posexplode(F.array(
         *[_value(F.col("code"), a, w) for a, w in parts])).alias("seg", "val")), "index")
@@ -97,7 +119,7 @@ def search(codes: DataFrame, queries: DataFrame, k: int = K, id_col: str = "vec_
                 one = one.select("q", "bound", "seg", _value(F.col("q"), shift, width).bitwiseXOR(F.col("mask"))
                                  .alias("val"))
                 probes = one if probes is None else probes.unionAll(one)
-        p, x = probes.alias("p"), index.alias("x")
+        p, x = probes.hint("merge").alias("p"), index.alias("x")
         hits = (p.join(x, (F.col("p.seg") == F.col("x.seg")) & (F.col("p.val") == F.col("x.val"))
                        & (_distance("q", "code") <= F.col("bound")))
                 .select("q", "code", "rows", _distance("q", "code").alias("distance")))
