@@ -46,14 +46,42 @@ SENTENCE_PENALTY = 2.0
 HARD_PENALTY = 24.0
 STEP = 64
 BLOCK_WINDOWS = 256
-CACHE_WORDS = 300_000
+CACHE_WORDS = 180_000
 
-# white space as the tokenizer's pattern \s knows it
-RUNS = re.compile("[^\t-\r \x85\xa0  -     　]+")
-# characters for which the tokenizer's own splitting is restated below
-PLAIN = re.compile("[!-~À-ÖØ-öø-ɏ]*")
-PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ɏ]+|[0-9]"
-                   "|[^a-z0-9À-ÖØ-öø-ɏ]+")
+# white space as the tokenizer's pattern \s knows it: ASCII, and the rest
+WHITE = re.compile("[\\t-\\r ]")
+SPACES = np.zeros(256, bool)
+SPACES[[9, 10, 11, 12, 13, 32]] = True
+WIDE_SPACES = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+# runs for which the tokenizer's own splitting is restated below
+PLAIN = re.compile("[\n!-~À-ÖØ-öø-ɏ]*")
+PARTS = re.compile("[a-zß-öø-ɏ]+|\n|'s|'t|'re|'ve|'m|'ll|'d|[0-9]|[^\na-z0-9À-ÖØ-öø-ɏ]+")
+STOP = "\U0010ffff"  # ends a run's ids; no id is spelled by it
+SENTENCE = 0x10FFFE  # follows the ids of a run that ends a sentence
+BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # odd
+CHUNK = 1 << 19  # characters split at once
+
+
+def spell(ids) -> str:
+    """Ids as a string, one character each (surrogates are left out)."""
+    return "".join([chr(i if i < 0xD800 else i + 0x2000) for i in ids])
+
+
+def spelled_ids(text: str):
+    """The ids (and sentence marks) of such a string."""
+    ids = np.frombuffer(text.encode("utf-32-le"), "<u4")
+    return np.where((ids < 0xD800) | (ids == SENTENCE), ids, ids - 0x2000).astype("<u4")
+
+
+class Cache(dict):
+    """A dict that notes, in order, the keys it was asked for and lacks."""
+
+    def __init__(self):
+        self.lacking = []
+
+    def __missing__(self, key):
+        self.lacking.append(key)
+        return None
 
 
 def byte_letters() -> dict:
@@ -64,83 +92,195 @@ def byte_letters() -> dict:
     return {**{b: chr(b) for b in own}, **{b: chr(256 + i) for i, b in enumerate(rest)}}
 
 
+class Powers:
+    """Powers of an odd base and of its inverse modulo 2**64."""
+
+    def __init__(self, base: int):
+        self.base, self.up, self.down = base, np.ones(1, np.uint64), np.ones(1, np.uint64)
+
+    def upto(self, n: int):
+        if len(self.up) < n:
+            for name, x in (("up", self.base), ("down", pow(self.base, -1, 1 << 64))):
+                steps = np.full(max(n, CHUNK + 1), x, np.uint64)
+                steps[0] = 1
+                setattr(self, name, np.multiply.accumulate(steps))
+        return self.up, self.down
+
+
 class Words:
     """Ids of texts by a word-end BPE, one run of non-white-space at a time.
 
     The tokenizer drops white space and never merges over it, so a text's ids
-    are its runs' ids one after another. Runs repeat, so they are kept in a
-    two-generation cache of bounded size. Runs of plain Latin letters,
-    digits and marks go straight to the BPE model; all others through the
-    whole tokenizer."""
+    are its runs' ids one after another. Runs repeat, so a batch of texts is
+    split and its runs hashed (two 64-bit polynomial hashes) as arrays; only
+    the distinct runs are looked up. Their ids are kept in a two-generation
+    cache of bounded size, as strings with one character for an id, which
+    join fast. New runs of Latin letters, digits and marks are taken apart as
+    the tokenizer does it, all at once, and their new parts go straight to its
+    BPE model; other runs go through the whole tokenizer."""
 
     def __init__(self, json_bytes: bytes, limit: int = CACHE_WORDS):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(json_bytes.decode("utf-8"))
         self.model, self.letters = self.tokenizer.model, byte_letters()
-        self.limit, self.new, self.old = limit, {}, {}
-
-    def run_ids(self, run: str) -> list:
-        if "<|" not in run and PLAIN.fullmatch(run) and unicodedata.is_normalized("NFC", run):
-            low = run.lower()
-            if PLAIN.fullmatch(low):
-                ids, letters = [], self.letters
-                for part in PARTS.findall(low):
-                    if not part.isascii():
-                        part = "".join([letters[b] for b in part.encode("utf-8")])
-                    ids += [t.id for t in self.model.tokenize(part)]
-                return ids
-        return self.tokenizer.encode(run, add_special_tokens=False).ids
-
-    def run_bytes(self, run: str) -> bytes:
-        """Little-endian 32-bit ids of a run."""
-        got = self.new.get(run)
-        if got is None:
-            got = self.old.get(run)
-            if got is None:
-                got = np.array(self.run_ids(run), dtype="<u4").tobytes()
-            if len(run) <= 64:
-                if len(self.new) >= self.limit:
-                    self.new, self.old = {}, self.new
-                self.new[run] = got
-        return got
+        self.limit, self.new, self.old, self.parts = limit, Cache(), {}, {"\n": STOP}
+        self.powers = [Powers(b) for b in BASES]
+
+    def part(self, part: str) -> str:
+        """Ids of one lower-cased letter run, digit or run of marks."""
+        spelled = part if part.isascii() else "".join([self.letters[b] for b in part.encode("utf-8")])
+        ids = spell([t.id for t in self.model.tokenize(spelled)])
+        if len(part) <= 64:
+            if len(self.parts) >= self.limit:
+                self.parts = {"\n": STOP}
+            self.parts[part] = ids
+        return ids
+
+    def plain(self, text: str) -> str | None:
+        """``text`` in lower case, if the restated splitting holds for it."""
+        if "<|" in text or not PLAIN.fullmatch(text):
+            return None
+        if text.isascii():
+            return text.lower()
+        if not unicodedata.is_normalized("NFC", text):
+            return None
+        low = text.lower()
+        return low if PLAIN.fullmatch(low) else None
+
+    def learn(self, runs: list) -> list:
+        """Ids of runs that are not in the cache."""
+        low = self.plain("\n".join(runs))
+        if low is None:
+            odd = [r for r in runs if self.plain(r) is None] if len(runs) > 1 else runs
+            if len(odd) < len(runs):
+                ids = {r: spell(self.tokenizer.encode(r, add_special_tokens=False).ids) for r in odd}
+                rest = [r for r in runs if r not in ids]
+                ids.update(zip(rest, self.learn(rest)))
+                return [ids[r] for r in runs]
+            return [spell(self.tokenizer.encode(r, add_special_tokens=False).ids) for r in runs]
+        known, out = self.parts.get, []
+        for p in PARTS.findall(low):
+            ids = known(p)
+            if ids is None:
+                ids = self.part(p)
+                known = self.parts.get
+            out.append(ids)
+        return "".join(out).split(STOP)
+
+    def chunk(self, raw: bytes) -> tuple:
+        """(ids with sentence marks, their number up to each run, run starts)
+        of a buffer of texts."""
+        buf = np.frombuffer(raw, np.uint8)
+        space = np.concatenate(([True], SPACES[buf], [True]))
+        edge = np.flatnonzero(space[1:] != space[:-1])
+        starts, ends = edge[::2], edge[1::2]
+        if not len(starts):
+            return np.zeros(0, "<u4"), np.zeros(1, np.int64), starts
+        wide, hashes = buf.astype(np.uint64) + np.uint64(1), []
+        for powers in self.powers:
+            up, down = powers.upto(len(buf) + 1)
+            prefix = np.zeros(len(buf) + 1, np.uint64)
+            np.cumsum(wide * up[:len(buf)], out=prefix[1:])
+            hashes.append((prefix[ends] - prefix[starts]) * down[starts])
+        first_hash = hashes[0] ^ (hashes[0] >> np.uint64(29))
+        distinct, first, inverse = np.unique(first_hash, return_index=True, return_inverse=True)
+        second = hashes[1][first]
+        if (hashes[1] != second[inverse]).any():  # one hash for two runs: take both together
+            both = np.rec.fromarrays([first_hash, hashes[1]])
+            both, first, inverse = np.unique(both, return_index=True, return_inverse=True)
+            distinct, second = both["f0"], both["f1"]
+        keys = [a << 64 | b for a, b in zip(distinct.tolist(), second.tolist())]
+        ids = list(map(self.new.__getitem__, keys))
+        lacking, self.new.lacking = self.new.lacking, []
+        if lacking:
+            gaps = [i for i, x in enumerate(ids) if x is None]
+            old, unknown = self.old.get, []
+            for i, key in zip(gaps, lacking):
+                ids[i] = old(key)
+                if ids[i] is None:
+                    unknown.append(i)
+            at = first[unknown]
+            runs = [raw[a:b].decode("utf-8", "surrogatepass") for a, b in zip(starts[at].tolist(), ends[at].tolist())]
+            if runs:
+                mark = chr(SENTENCE)
+                for i, r, x in zip(unknown, runs, self.learn(runs)):
+                    ids[i] = x + mark if r[-1] in ".!?" else x
+            if len(self.new) + len(gaps) > self.limit:
+                self.new, self.old = Cache(), self.new
+            self.new.update((keys[i], ids[i]) for i in gaps if len(ids[i]) <= 64)
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat, begin = spelled_ids("".join(ids)), np.cumsum(sizes) - sizes
+        each = sizes[inverse]
+        upto = np.concatenate(([0], np.cumsum(each)))
+        # the ids of each run, run after run
+        return flat[np.repeat(begin[inverse] - upto[:-1], each) + np.arange(upto[-1])], upto, starts
+
+    def documents(self, texts: list):
+        """Of each text: ids with the end id as bytes, and the token positions
+        after sentences."""
+        batch, size = [], 0
+        for text in texts:
+            text = text or ""
+            if not text.isascii() and WIDE_SPACES.search(text):
+                text = WIDE_SPACES.sub(" ", text)
+            if len(text) > CHUNK:
+                yield from self._batch(batch)
+                yield self._long(text)
+                batch, size = [], 0
+                continue
+            batch.append(text)
+            size += len(text)
+            if size >= CHUNK:
+                yield from self._batch(batch)
+                batch, size = [], 0
+        yield from self._batch(batch)
+
+    def _batch(self, texts: list):
+        raws = [t.encode("utf-8", "surrogatepass") for t in texts]
+        ids, upto, starts = self.chunk(b"\n".join(raws))
+        ends = np.cumsum([len(r) + 1 for r in raws])
+        cuts = upto[np.searchsorted(starts, ends)].tolist()
+        for a, b in zip([0, *cuts], cuts):
+            yield self._done(ids[a:b])
+
+    def _long(self, text: str) -> tuple:
+        """The same for one long text, cut at white space."""
+        out, at = [], 0
+        while at < len(text):
+            cut = WHITE.search(text, at + CHUNK)
+            stop = cut.end() if cut else len(text)
+            out.append(self.chunk(text[at:stop].encode("utf-8", "surrogatepass"))[0])
+            at = stop
+        return self._done(np.concatenate(out))
+
+    @staticmethod
+    def _done(ids) -> tuple:
+        marks = np.flatnonzero(ids == SENTENCE)
+        if len(marks):
+            ids = ids[ids != SENTENCE]
+            marks = marks - np.arange(len(marks))
+        return ids.tobytes() + END_ID.to_bytes(4, "little"), marks
 
     def document(self, text: str | None) -> tuple:
-        """(ids with the end id as bytes, token positions after sentences)."""
-        text = text or ""
-        if any("\x1c" <= c <= "\x1f" for c in set(text)):  # white space for split(), not for \\s
-            runs = RUNS.findall(text)
-        else:
-            runs = text.split()
-        new, parts = self.new.get, []
-        for r in runs:
-            b = new(r)
-            parts.append(b if b is not None else self.run_bytes(r))
-        ends = np.fromiter((r[-1] in ".!?" for r in runs), dtype=bool, count=len(runs))
-        stops = np.cumsum(np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)))[ends] // 4
-        parts.append(END_ID.to_bytes(4, "little"))
-        return b"".join(parts), stops
-
-
-def cut_points(n: int, sentence_stops, step: int = STEP) -> tuple:
-    """Cut positions in a document of ``n`` tokens, ascending, the last one
-    ``n``, and their kinds (0 document end, 1 sentence end, 2 inside a
+        return next(self.documents([text]))
+
+
+def cut_points(doc_ends, sentence_stops, start: int = 0, step: int = STEP) -> tuple:
+    """Cut positions of a stream of documents that begins at ``start``,
+    ascending, and their kinds (0 document end, 1 sentence end, 2 inside a
     sentence, so that neighbours lie at most ``step`` apart)."""
-    stops = np.unique(np.append(sentence_stops[sentence_stops < n], n)).astype(np.int64)
-    stops = stops[stops > 0]
-    starts = np.concatenate(([0], stops[:-1]))
+    stops = np.union1d(doc_ends, sentence_stops[sentence_stops > start]).astype(np.int64)
+    kind = np.ones(len(stops), np.int8)
+    kind[np.searchsorted(stops, doc_ends)] = 0
+    starts = np.concatenate(([start], stops[:-1]))
     inside = (stops - starts - 1) // step
     if inside.any():
         seg = np.repeat(np.arange(len(stops)), inside)
         nth = np.arange(len(seg)) - np.repeat(np.cumsum(inside) - inside, inside) + 1
         pos = np.concatenate((stops, starts[seg] + nth * step))
-        kind = np.concatenate((np.ones(len(stops), np.int8), np.full(len(seg), 2, np.int8)))
         order = np.argsort(pos, kind="stable")
-        pos, kind = pos[order], kind[order]
-    else:
-        pos, kind = stops, np.ones(len(stops), np.int8)
-    kind = kind.copy()
-    kind[-1] = 0
-    return pos, kind
+        return pos[order], np.concatenate((kind, np.full(len(seg), 2, np.int8)))[order]
+    return stops, kind
 
 
 def best_cuts(pos: list, cost: list, window: int = WINDOW) -> list:
@@ -150,8 +290,15 @@ def best_cuts(pos: list, cost: list, window: int = WINDOW) -> list:
     points, penalty = [0, *pos], [0.0, *cost]
     n = len(points)
     f, back = [0.0] * n, [0] * n
-    index = {p: i for i, p in enumerate(points)}
-    powers = [1 << k for k in range(window.bit_length()) if 1 << k < window]
+    # predecessors that make a sequence a power of two long, by successor
+    where, pairs = np.array(points), []
+    for power in (1 << k for k in range(window.bit_length())):
+        i = np.minimum(np.searchsorted(where, where - power), n - 1)
+        j = np.flatnonzero(where[i] == where - power)
+        pairs.append((j, i[j]))
+    after, before = (np.concatenate(x) for x in zip(*pairs))
+    order = np.argsort(after, kind="stable")
+    after, before, at = [*after[order].tolist(), n], before[order].tolist(), 0
     queue: deque = deque()  # indexes with increasing key = f + penalty + pos
     key = [0.0] * n
     for j in range(1, n):
@@ -165,9 +312,10 @@ def best_cuts(pos: list, cost: list, window: int = WINDOW) -> list:
             queue.popleft()
         best = queue[0]
         value = key[best] + window - p
-        for w in powers:
-            i = index.get(p - w)
-            if i is not None and f[i] + penalty[i] < value:
+        while after[at] == j:
+            i = before[at]
+            at += 1
+            if f[i] + penalty[i] < value:
                 value, best = f[i] + penalty[i], i
         f[j], back[j] = value, best
     out, j = [], n - 1
@@ -186,32 +334,30 @@ class Packer:
         self.window, self.step, self.block = window, step, block_windows * window
         self.costs = np.array([0.0, sentence_penalty, hard_penalty])
         self.docs: deque = deque()  # (key, ids bytes, tokens, tokens packed)
-        self.pos, self.kind, self.base, self.end, self.sequence = [], [], 0, 0, 0
+        self.ends, self.stops, self.base, self.end, self.sequence = [], [], 0, 0, 0
         self.ready: list = []
 
     def add(self, key, ids: bytes, stops) -> None:
         n = len(ids) // 4
-        pos, kind = cut_points(n, stops, min(self.step, self.window))
-        self.pos.append(pos + self.end)
-        self.kind.append(kind)
+        self.stops.append(stops + self.end)
         self.end += n
+        self.ends.append(self.end)
         self.docs.append([key, ids, n, 0])
         if self.end - self.base >= self.block:
             self.flush(False)
 
     def flush(self, last: bool) -> None:
-        if not self.pos:
+        if not self.ends:
             return
-        pos, kind = np.concatenate(self.pos), np.concatenate(self.kind)
+        ends, stops = np.array(self.ends), np.concatenate(self.stops)
+        pos, kind = cut_points(ends, stops, self.base, min(self.step, self.window))
         cuts = best_cuts((pos - self.base).tolist(), self.costs[kind].tolist(), self.window)
         if not last:
             cuts = cuts[:-1]  # the last sequence may still grow
-        if cuts:
-            for stop in pos[cuts].tolist():
-                self._take(stop - self.base)
-                self.base = stop
-            pos, kind = pos[cuts[-1] + 1:], kind[cuts[-1] + 1:]
-        self.pos, self.kind = ([pos], [kind]) if len(pos) else ([], [])
+        for stop in pos[cuts].tolist():
+            self._take(stop - self.base)
+            self.base = stop
+        self.ends, self.stops = ends[ends > self.base].tolist(), [stops[stops > self.base]]
 
     def _take(self, n: int) -> None:
         """The next ``n`` tokens as one sequence."""
@@ -259,10 +405,10 @@ def pack(docs: DataFrame, tokenizer_path: str | None = None, id_col: str = "doc_
                                      pa.list_(pa.int32())))
             return pa.RecordBatch.from_arrays(cols, names=names + ["ids"] * with_ids)
 
-        for batch in batches:
+        for batch in common.slices(batches, 2048):
             key_type = batch.schema.field(0).type
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                packer.add(key, *words.document(text))
+            for key, (ids, stops) in zip(batch.column(0).to_pylist(), words.documents(batch.column(1).to_pylist())):
+                packer.add(key, ids, stops)
                 if len(packer.ready) >= 4096:
                     yield rows(packer.taken())
         packer.flush(True)
