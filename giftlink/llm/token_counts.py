@@ -120,7 +120,7 @@ def count_tokens(docs: DataFrame, model_path: str | None = None, id_col: str = "
 
     def run(batches):
         automaton, cache = state(("token_counts", path), lambda: (Automaton(vocabulary_pieces(model.value)), {}))
-        for batch in batches:
+        for batch in common.slices(batches):
             out = [text_counts(t, automaton, cache) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *[pa.array([x[i] for x in out], pa.int64()) for i in range(3)]],
