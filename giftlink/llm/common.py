@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import sys
-import types
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -21,26 +20,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def worker_state(key, make):
-    """``make()`` once per Python worker, kept for its later tasks of the
-    same kind; a task of another kind frees it, so caches of several
-    operators never add up. Code that is shipped by value has fresh globals
-    in every task, so the state lives in a module object of its own."""
-    module = sys.modules.setdefault("_llm_worker_state", types.ModuleType("_llm_worker_state"))
-    if getattr(module, "key", None) != key:
-        module.state = None
-        module.key, module.state = key, make()
-    return module.state
-
-
-def slices(batches, rows: int = 512):
-    """Record batches cut to at most ``rows`` rows, which bounds what a task
-    holds as Python objects."""
-    for b in batches:
-        for lo in range(0, b.num_rows, rows):
-            yield b.slice(lo, rows)
-
-
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared checkpoint folder and read back."""
     return materialize(df, f"llm-{name}")
@@ -66,5 +45,3 @@ def schema_of(df: DataFrame, kept: str, rest: str) -> str:
     cols = [f"`{c}` {df.schema[c].dataType.simpleString()}" for c in kept.split(",")]
     return ", ".join([*cols, rest])
 
-
-ship(__name__)

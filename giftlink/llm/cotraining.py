@@ -36,6 +36,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from giftlink.llm import common
+from giftlink.llm.tasks import slices
 
 MAX_LABELLED = 20_000
 PER_ROUND = 500
@@ -161,7 +162,7 @@ def featurize(docs: DataFrame) -> DataFrame:
     names = ["doc_id", "h", "text_x", "meta_x"]
 
     def run(batches):
-        for b in common.slices(batches):
+        for b in slices(batches):
             texts = [t or "" for t in b.column(2).to_pylist()]
             xt = [np.array(text_features(t), np.float32) for t in texts]
             xm = [np.array(meta_features(t, *m), np.float32)
@@ -181,7 +182,7 @@ def _score_features(rows: DataFrame, model, keep: str) -> DataFrame:
     names = keep.split(",")
 
     def run(batches):
-        for b in common.slices(batches):
+        for b in slices(batches):
             n = b.num_rows
             xt = b.column(b.schema.get_field_index("text_x")).flatten().to_numpy(zero_copy_only=False)
             xm = b.column(b.schema.get_field_index("meta_x")).flatten().to_numpy(zero_copy_only=False)
@@ -256,7 +257,7 @@ def score(docs: DataFrame, model, keep_columns: list | None = None) -> DataFrame
     k = len(names)
 
     def run(batches):
-        for b in common.slices(batches):
+        for b in slices(batches):
             texts = [t or "" for t in b.column(k).to_pylist()]
             xt = _matrix([text_features(t) for t in texts], N_TEXT)
             xm = _matrix([meta_features(t, *m) for t, *m in

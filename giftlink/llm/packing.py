@@ -39,6 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from giftlink.llm import common
+from giftlink.llm.tasks import slices, worker_state
 
 WINDOW = 4096
 END_ID = 2
@@ -387,12 +388,11 @@ def pack(docs: DataFrame, tokenizer_path: str | None = None, id_col: str = "doc_
     ``with_ids``. A sequence id holds the partition in its upper half."""
     path = tokenizer_path or common.vocabulary("word_bpe_49k.json")
     spec = docs.sparkSession.sparkContext.broadcast(common.file_bytes(path))
-    state = common.worker_state
     names = [id_col, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     id_type = docs.schema[id_col].dataType
 
     def run(batches):
-        words = state(("packing", path), lambda: Words(spec.value))
+        words = worker_state(("packing", path), lambda: Words(spec.value))
         packer = Packer(window, **settings)
         first = TaskContext.get().partitionId() << 32
         key_type = None
@@ -405,7 +405,7 @@ def pack(docs: DataFrame, tokenizer_path: str | None = None, id_col: str = "doc_
                                      pa.list_(pa.int32())))
             return pa.RecordBatch.from_arrays(cols, names=names + ["ids"] * with_ids)
 
-        for batch in common.slices(batches, 2048):
+        for batch in slices(batches, 2048):
             key_type = batch.schema.field(0).type
             for key, (ids, stops) in zip(batch.column(0).to_pylist(), words.documents(batch.column(1).to_pylist())):
                 packer.add(key, ids, stops)

@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from giftlink.llm import common
+from giftlink.llm.tasks import slices, worker_state
 
 MARK = "▁"
 CACHE_WORDS = 200_000
@@ -115,12 +116,11 @@ def count_tokens(docs: DataFrame, model_path: str | None = None, id_col: str = "
     spark = docs.sparkSession
     path = model_path or common.vocabulary("piece_bpe_32k.model")
     model = spark.sparkContext.broadcast(common.file_bytes(path))
-    state = common.worker_state
     schema = common.schema_of(docs, id_col, "n_words long, n_tokens long, n_unknown long")
 
     def run(batches):
-        automaton, cache = state(("token_counts", path), lambda: (Automaton(vocabulary_pieces(model.value)), {}))
-        for batch in common.slices(batches):
+        automaton, cache = worker_state(("token_counts", path), lambda: (Automaton(vocabulary_pieces(model.value)), {}))
+        for batch in slices(batches):
             out = [text_counts(t, automaton, cache) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *[pa.array([x[i] for x in out], pa.int64()) for i in range(3)]],
