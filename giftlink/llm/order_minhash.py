@@ -19,10 +19,11 @@ Scale: exact copies are collapsed to one text first (partial aggregate), and
 a bucket never emits all its pairs unless it has at most ``small`` texts. In
 a larger bucket every text is paired with the bucket's hub, the text that
 shares most buckets with others, so a group of thousands of copies of one
-text costs one pair per copy. Texts in large buckets are bucketed again by
-pairs of sketches, which separates unrelated texts that merely share a hot
-passage; their small buckets emit all pairs and their large ones the hub's.
-No row is capped or sampled.
+text costs one pair per copy. Large buckets whose texts are not all in one
+class by then are bucketed again by pairs of sketches, which separates texts
+that merely share a hot passage; there, too, small buckets emit all pairs and
+large ones the hub's, between different classes only. No row is capped or
+sampled.
 
 Defined results: texts without words (null, empty, white space) are copies of
 each other; texts under five words are one shingle; repeated rows and
@@ -40,6 +41,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from giftlink.llm import common
+from giftlink.llm.tasks import slices, worker_state
 from giftlink.llm.components import components
 
 SHINGLE = 5
@@ -48,7 +50,7 @@ SKETCHES = 20
 THRESHOLD = 0.8
 SMALL = 12
 OFFSETS = (1, 2, 5, 9)  # partners of a sketch in the second bucketing
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 
 MULT = np.uint64(0x9E3779B97F4A7C15)
 BASE = np.uint64(0xBF58476D1CE4E5B9)
@@ -177,12 +179,11 @@ def text_key(text):
 
 
 def _sketched(docs: DataFrame, id_col: str, text_col: str, in_order: int, sketches: int) -> DataFrame:
-    state = common.worker_state
     names = [id_col, "th", "sk"]
 
     def run(batches):
-        cache = state("order_minhash", dict)
-        for b in batches:
+        cache = worker_state("order_minhash", dict)
+        for b in slices(batches):
             out = []
             for t in b.column(2).to_pylist():
                 w = word_hashes((t or "").lower().split(), cache)
@@ -196,43 +197,58 @@ def _sketched(docs: DataFrame, id_col: str, text_col: str, in_order: int, sketch
             .mapInArrow(run, common.schema_of(docs, id_col, "th binary, sk array<bigint>")))
 
 
-def _pairs(rows: DataFrame, small: int) -> tuple[DataFrame, DataFrame]:
-    """Candidate pairs of bucket rows (key, th, deg): all pairs of buckets
-    up to ``small``, hub pairs of larger ones; and the large buckets."""
-    stats = rows.groupBy("key").agg(F.count("*").alias("n"), F.max(F.struct("deg", "th")).alias("hub"))
+def _pairs(rows: DataFrame, small: int) -> DataFrame:
+    """Candidate pairs (a, b) of bucket rows (key, th, deg, root): all pairs
+    of buckets up to ``small``, hub pairs of larger ones. Texts that are in
+    one class (``root``) already are not paired."""
+    rows = rows.withColumn("me", F.struct("deg", "th", "root"))
+    stats = rows.groupBy("key").agg(F.count("*").alias("n"), F.max("me").alias("hub"))
     little = (rows.join(stats.where((F.col("n") > 1) & (F.col("n") <= small)).select("key"), "key", "left_semi")
-              .groupBy("key").agg(F.sort_array(F.collect_list("th")).alias("m")))
+              .groupBy("key").agg(F.sort_array(F.collect_list(F.struct("th", "root"))).alias("m")))
     pairs = (little.select(F.explode(F.flatten(F.transform(
-        "m", lambda x, i: F.transform(F.slice("m", i + 2, small), lambda y: F.struct(x.alias("a"), y.alias("b"))))))
-        .alias("p")).select("p.a", "p.b"))
-    large = stats.where(F.col("n") > small)
-    star = (rows.join(large.select("key", F.col("hub.th").alias("hub")), "key")
-            .where(F.col("th") != F.col("hub"))
-            .select(F.least("th", "hub").alias("a"), F.greatest("th", "hub").alias("b")))
-    return pairs.unionByName(star), large
-
-
-def candidates(texts: DataFrame, small: int = SMALL, offsets: tuple = OFFSETS) -> DataFrame:
-    """Distinct candidate pairs (a, b) of texts (th, sk)."""
-    n = F.size("sk")
-    rows = texts.select("th", "sk", F.posexplode("sk").alias("t", "s"))
+        "m", lambda x, i: F.transform(F.slice("m", i + 2, small), lambda y: F.struct(x.alias("x"), y.alias("y"))))))
+        .alias("p")).where(F.col("p.x.root") != F.col("p.y.root"))
+        .select(F.col("p.x.th").alias("a"), F.col("p.y.th").alias("b")))
+    star = (rows.join(stats.where(F.col("n") > small).select("key", "hub"), "key")
+            .where((F.col("th") != F.col("hub.th")) & (F.col("root") != F.col("hub.root")))
+            .select(F.least(F.col("th"), F.col("hub.th")).alias("a"), F.greatest(F.col("th"), F.col("hub.th")).alias("b")))
+    return pairs.unionByName(star).distinct()
+
+
+def shared_buckets(texts: DataFrame) -> DataFrame:
+    """(t, s, n, th, deg): each text's sketches that others have too, the
+    bucket's size, and the sum of the text's bucket sizes."""
+    rows = texts.select("th", F.posexplode("sk").alias("t", "s"))
     sizes = rows.groupBy("t", "s").agg(F.count("*").alias("n")).where("n > 1")
-    # only rows that share a bucket go on
     shared = common.written(rows.join(sizes, ["t", "s"]), "buckets")
-    degree = shared.groupBy("th").agg(F.sum("n").alias("deg"))
-    first = shared.join(degree, "th").select(F.struct("t", "s").alias("key"), "th", "deg")
-    pairs, _ = _pairs(first, small)
-    again = shared.where(F.col("n") > small).withColumn("o", F.explode(F.array(*[F.lit(o) for o in offsets])))
-    second = (again.select("th", "n", F.struct("t", "s", "o", F.get("sk", (F.col("t") + F.col("o")) % n).alias("s2"))
-                           .alias("key")).join(degree, "th").select("key", "th", "deg"))
-    more, _ = _pairs(second, small)
-    return pairs.unionByName(more).distinct()
+    return common.written(shared.join(shared.groupBy("th").agg(F.sum("n").alias("deg")), "th"), "degrees")
+
+
+def linked(texts: DataFrame, docs: DataFrame, threshold: float, text_col: str, small: int,
+           offsets: tuple = OFFSETS) -> DataFrame:
+    """(v, root): classes of the texts (th, sk) that have a link."""
+    shared = shared_buckets(texts)
+    first = shared.select(F.struct("t", "s").alias("key"), "th", "deg", F.col("th").alias("root"))
+    links = common.written(verified(_pairs(first, small), docs, threshold, text_col), "verified")
+    classes = components(links)
+    # large buckets that still hold several classes
+    large = (shared.where(F.col("n") > small).join(classes.withColumnRenamed("v", "th"), "th", "left")
+             .withColumn("root", F.coalesce("root", "th")))
+    mixed = (large.groupBy("t", "s").agg(F.min("root").alias("r1"), F.max("root").alias("r2"))
+             .where("r1 <> r2").select("t", "s"))
+    open_ = common.written(large.join(mixed, ["t", "s"]).join(texts, "th").withColumn(
+        "o", F.explode(F.array(*[F.lit(o) for o in offsets]))).select(
+        F.struct("t", "s", "o", F.get("sk", (F.col("t") + F.col("o")) % F.size("sk")).alias("s2")).alias("key"),
+        "th", "deg", "root"), "open")
+    more = common.written(_pairs(open_, small).join(links, ["a", "b"], "left_anti"), "more")
+    if more.isEmpty():
+        return classes
+    return components(links.unionByName(verified(more, docs, threshold, text_col)))
 
 
 def verified(pairs: DataFrame, docs: DataFrame, threshold: float, text_col: str = "text") -> DataFrame:
     """The pairs whose texts pass the banded alignment. Texts are fetched by
     key from ``docs``, one copy each."""
-    state = common.worker_state
     wanted = pairs.select(F.col("a").alias("th")).unionByName(pairs.select(F.col("b").alias("th"))).distinct()
     texts = (docs.select(text_key(F.col(text_col)).alias("th"), F.col(text_col).alias("text"))
              .join(wanted, "th", "left_semi").dropDuplicates(["th"]))
@@ -241,7 +257,7 @@ def verified(pairs: DataFrame, docs: DataFrame, threshold: float, text_col: str
             .join(texts.select(F.col("th").alias("b"), F.col("text").alias("tb")), "b"))
 
     def run(batches):
-        cache = state("order_minhash", dict)
+        cache = worker_state("order_minhash", dict)
         for b in batches:
             ok = [similar(x.as_py(), y.as_py(), threshold, cache) for x, y in zip(b.column(2), b.column(3))]
             keep = pa.array(ok, pa.bool_())
@@ -252,20 +268,15 @@ def verified(pairs: DataFrame, docs: DataFrame, threshold: float, text_col: str
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
                     in_order: int = IN_ORDER, sketches: int = SKETCHES, small: int = SMALL) -> DataFrame:
-    """(id, class_id, n_links, th) of every row: its class, and the number of
-    other texts its text is linked to directly. ``th`` is the text's key."""
-    rows = common.written(_sketched(docs, id_col, text_col, in_order, sketches), "sketches")
+    """(id, class_id, class_rows, th, root) of every row: its class and the
+    class's number of rows. ``th`` is the text's key, ``root`` the class's."""
+    rows = common.written(_sketched(common.in_small_batches(docs), id_col, text_col, in_order, sketches), "sketches")
     texts = rows.groupBy("th").agg(F.first("sk").alias("sk"))  # equal texts have equal sketches
-    links = common.written(verified(candidates(texts, small), docs, threshold, text_col), "verified")
-    comp = components(links)
-    degree = (links.select(F.col("a").alias("th")).unionAll(links.select(F.col("b").alias("th")))
-              .groupBy("th").agg(F.count("*").alias("n_links")))
-    member = (rows.select(id_col, "th")
-              .join(comp.withColumnRenamed("v", "th").join(degree, "th"), "th", "left")
-              .select(id_col, "th", F.coalesce("root", "th").alias("root"),
-                      F.coalesce("n_links", F.lit(0)).alias("n_links")))
-    ids = member.groupBy("root").agg(F.min(id_col).alias("class_id"))
-    return member.join(ids, "root").select(id_col, "class_id", "n_links", "th", "root")
+    classes = linked(texts, docs, threshold, text_col, small)
+    member = (rows.select(id_col, "th").join(classes.withColumnRenamed("v", "th"), "th", "left")
+              .select(id_col, "th", F.coalesce("root", "th").alias("root")))
+    ids = member.groupBy("root").agg(F.min(id_col).alias("class_id"), F.count("*").alias("class_rows"))
+    return member.join(ids, "root").select(id_col, "class_id", "class_rows", "th", "root")
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
