@@ -20,6 +20,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+BATCH_ROWS = 1000
+
+
+def in_small_batches(docs: DataFrame) -> DataFrame:
+    """``docs`` itself; its session hands rows to Python in record batches of
+    at most ``BATCH_ROWS`` rows, unless the setting was changed from Spark's
+    10,000. Rows are whole documents here, and a batch is held several times
+    over (JVM vectors, the stream, Python)."""
+    key, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", docs.sparkSession.conf
+    if conf.get(key, "10000") == "10000":
+        conf.set(key, str(BATCH_ROWS))
+    return docs
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared checkpoint folder and read back."""
     return materialize(df, f"llm-{name}")

@@ -171,7 +171,7 @@ def featurize(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(xt, arr), pa.array(xm, arr)],
                                              names=names)
 
-    return (docs.select("doc_id", F.xxhash64("doc_id", "text").alias("h"), "text", "lang", "source",
+    return (common.in_small_batches(docs).select("doc_id", F.xxhash64("doc_id", "text").alias("h"), "text", "lang", "source",
                         F.col("n_chars").cast("long"))
             .mapInArrow(run, common.schema_of(docs, "doc_id", "h long, text_x array<float>, meta_x array<float>")))
 
@@ -252,7 +252,7 @@ def score(docs: DataFrame, model, keep_columns: list | None = None) -> DataFrame
     """Every row of ``docs`` with p_text, p_meta and p_quality. The columns
     ``keep_columns`` (default: doc_id) come back as they are."""
     names = keep_columns or ["doc_id"]
-    need = docs.select(*names, F.col("text").alias("_text"), F.col("lang").alias("_lang"),
+    need = common.in_small_batches(docs).select(*names, F.col("text").alias("_text"), F.col("lang").alias("_lang"),
                        F.col("source").alias("_source"), F.col("n_chars").cast("long").alias("_n_chars"))
     k = len(names)
 

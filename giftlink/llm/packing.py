@@ -47,7 +47,7 @@ SENTENCE_PENALTY = 2.0
 HARD_PENALTY = 24.0
 STEP = 64
 BLOCK_WINDOWS = 256
-CACHE_WORDS = 180_000
+CACHE_WORDS = 150_000
 
 # white space as the tokenizer's pattern \s knows it: ASCII, and the rest
 WHITE = re.compile("[\\t-\\r ]")
@@ -387,7 +387,7 @@ def pack(docs: DataFrame, tokenizer_path: str | None = None, id_col: str = "doc_
     ids_crc32, doc_tokens, sequence_id, offset, and ids (array<int>) with
     ``with_ids``. A sequence id holds the partition in its upper half."""
     path = tokenizer_path or common.vocabulary("word_bpe_49k.json")
-    spec = docs.sparkSession.sparkContext.broadcast(common.file_bytes(path))
+    spec = common.in_small_batches(docs).sparkSession.sparkContext.broadcast(common.file_bytes(path))
     names = [id_col, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     id_type = docs.schema[id_col].dataType
 

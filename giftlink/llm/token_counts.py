@@ -113,7 +113,7 @@ def text_counts(text, automaton: Automaton, cache: dict) -> tuple:
 def count_tokens(docs: DataFrame, model_path: str | None = None, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
     """(id, n_words long, n_tokens long, n_unknown long) of every row."""
-    spark = docs.sparkSession
+    spark = common.in_small_batches(docs).sparkSession
     path = model_path or common.vocabulary("piece_bpe_32k.model")
     model = spark.sparkContext.broadcast(common.file_bytes(path))
     schema = common.schema_of(docs, id_col, "n_words long, n_tokens long, n_unknown long")
