@@ -45,11 +45,9 @@ def op7_permutation_index(spark, sf_dir):
 
 
 def op8_sentence_pieces(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
-    back = sentence_pieces.decode(sentence_pieces.encode(docs))
-    return back.select("doc_id", F.size("ids").cast("long").alias("n_ids"),
-                       sentence_pieces.id_bytes_crc32(F.col("ids")).alias("ids_crc32"),
-                       F.sha2("decoded", 256).alias("decoded_sha256"))
+    out = sentence_pieces.round_trip(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", (F.octet_length("ids_le") / 4).cast("long").alias("n_ids"),
+                      F.crc32("ids_le").alias("ids_crc32"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op9_chat_format(spark, sf_dir):
@@ -57,7 +55,7 @@ def op9_chat_format(spark, sf_dir):
 
 
 def op10_order_minhash(spark, sf_dir):
-    return order_minhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
+    return order_minhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_rows")
 
 
 QUERIES = {f.__name__: f for f in (op1_cotraining, op2_packing, op3_hamming_topk, op4_token_counts, op5_suffix_dedup,

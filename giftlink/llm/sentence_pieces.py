@@ -9,9 +9,11 @@ a penalty below every piece score.
 
 Spaces become word marks and one mark is put before the text, as the model's
 settings say; nothing else is normalised, so decoding gives back the text.
-No piece has a mark after another character (checked when the model is
-loaded), so the best path never crosses the start of a word: words are
-encoded one by one and repeated words are taken from a bounded cache.
+No piece has a mark after another character, and none holds a line break
+(checked when the model is loaded), so the best path never crosses the start
+of a word or a line end: such units are encoded one by one, and repeated units
+come from a two-generation cache of bounded size, as strings with one
+character for an id, which join fast.
 
 Defined results: a null text has null ids and decodes to null; an empty text
 has no ids; texts of any length are read whole; repeated rows each get their
@@ -28,13 +30,26 @@ import re
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from giftlink.llm import common
+from giftlink.llm.tasks import worker_state
 
 MARK = "▁"
+CUT = "\0"
 CACHE_WORDS = 200_000
-WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
+UNIT = re.compile(f"\n|{MARK}*[^{MARK}\n]+|{MARK}+")
+BYTE_RUNS = re.compile("[\U000F0000-\U000F00FF]+")
+
+
+def spell(ids) -> str:
+    """Ids as a string, one character each (surrogates are left out)."""
+    return "".join([chr(i if i < 0xD800 else i + 0x2000) for i in ids])
+
+
+def spelled_ids(text: str):
+    """The ids of such a string."""
+    ids = np.frombuffer(text.encode("utf-32-le"), "<u4")
+    return np.where(ids < 0xD800, ids, ids - 0x2000).astype("<i4")
 
 
 class Pieces:
@@ -52,8 +67,8 @@ class Pieces:
                 self.byte_of[i] = int(piece[3:5], 16)
                 self.byte_id[int(piece[3:5], 16)] = i
             elif not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)):
-                if MARK in piece.lstrip(MARK):
-                    raise ValueError(f"piece {piece!r} crosses the start of a word")
+                if MARK in piece.lstrip(MARK) or "\n" in piece or BYTE_RUNS.search(piece):
+                    raise ValueError(f"piece {piece!r} crosses the start of a word or a line")
                 score = sp.get_score(i)
                 low = min(low, score)
                 self.text[i] = piece
@@ -61,7 +76,11 @@ class Pieces:
         automaton.make_automaton()
         self.automaton, self.unknown_score = automaton, low - 10.0
         self.unknown_id = sp.unk_id()
-        self.cache = {}
+        # what an id decodes to; a byte is a private character until the end
+        self.shown = [self.text.get(i, "") for i in range(sp.get_piece_size())]
+        for i, x in self.byte_of.items():
+            self.shown[i] = chr(0xF0000 + x)
+        self.new, self.old = {"": ""}, {}
 
     def viterbi(self, word: str) -> list:
         """Ids of one word (marks, then other characters)."""
@@ -79,7 +98,8 @@ class Pieces:
                     best[done], count[done], back[done] = score, count[done - 1] + 1, (1, -1)
 
         for end, (length, i, score) in self.automaton.iter(word):
-            unknown(end)
+            if done < end:
+                unknown(end)
             start = end + 1 - length
             s, c = best[start] + score, count[start] + 1
             b = best[end + 1]
@@ -101,43 +121,44 @@ class Pieces:
         ids.reverse()
         return ids
 
-    def encode(self, text: str) -> list:
+    def units(self, text: str) -> list:
+        if "  " in text or text[0] == " " or MARK in text or CUT in text:
+            return UNIT.findall(MARK + text.replace(" ", MARK))
+        # the same, faster: no run of marks is longer than one
+        return (MARK + text.replace(" ", CUT + MARK).replace("\n", CUT + "\n" + CUT)).split(CUT)
+
+    def encode(self, text: str):
+        """Ids of a text as a 32-bit array."""
         if not text:
-            return []
-        out, cache = [], self.cache
-        for w in WORD.findall(MARK + text.replace(" ", MARK)):
-            ids = cache.get(w)
-            if ids is None:
-                ids = self.viterbi(w)
-                if len(cache) >= CACHE_WORDS:
-                    cache.clear()
-                if len(w) <= 64:
-                    cache[w] = ids
-            out += ids
-        return out
+            return np.zeros(0, "<i4")
+        units = self.units(text)
+        ids = list(map(self.new.get, units))
+        if None in ids:
+            fresh = {}
+            for u in {u for u, x in zip(units, ids) if x is None}:
+                known = self.old.get(u)
+                fresh[u] = spell(self.viterbi(u)) if known is None else known
+            ids = [fresh[u] if x is None else x for u, x in zip(units, ids)]
+            if len(self.new) + len(fresh) > CACHE_WORDS:
+                self.new, self.old = {"": ""}, self.new
+            self.new.update((u, x) for u, x in fresh.items() if len(u) <= 64)
+        return spelled_ids("".join(ids))
 
     def decode(self, ids) -> str:
-        out, raw = [], bytearray()
-        for i in ids:
-            b = self.byte_of.get(i)
-            if b is not None:
-                raw.append(b)
-                continue
-            if raw:
-                out.append(raw.decode("utf-8", "replace"))
-                raw = bytearray()
-            out.append(self.text.get(i, ""))
-        if raw:
-            out.append(raw.decode("utf-8", "replace"))
-        text = "".join(out).replace(MARK, " ")
+        shown, n = self.shown, len(self.shown)
+        if len(ids) and (ids.min() < 0 or ids.max() >= n):
+            ids = ids[(ids >= 0) & (ids < n)]
+        text = "".join(map(shown.__getitem__, ids.tolist()))
+        if not text.isascii():
+            text = BYTE_RUNS.sub(lambda m: bytes(ord(c) - 0xF0000 for c in m[0]).decode("utf-8", "replace"), text)
+            text = text.replace(MARK, " ")
         return text[1:] if text.startswith(" ") else text
 
 
 def _model(docs: DataFrame, model_path: str | None):
     path = model_path or common.vocabulary("piece_bpe_32k.model")
-    model = docs.sparkSession.sparkContext.broadcast(common.file_bytes(path))
-    state = common.worker_state
-    return lambda: state(("sentence_pieces", path), lambda: Pieces(model.value))
+    model = common.in_small_batches(docs).sparkSession.sparkContext.broadcast(common.file_bytes(path))
+    return lambda: worker_state(("sentence_pieces", path), lambda: Pieces(model.value))
 
 
 def encode(docs: DataFrame, model_path: str | None = None, id_col: str = "doc_id",
@@ -148,15 +169,21 @@ def encode(docs: DataFrame, model_path: str | None = None, id_col: str = "doc_id
     def run(batches):
         pieces = pieces_of()
         for batch in batches:
-            # int32 arrays, not Python lists, keep a batch small
-            ids = [None if t is None else np.array(pieces.encode(t), dtype=np.int32)
-                   for t in batch.column(1).to_pylist()]
+            ids = [None if t is None else pieces.encode(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))],
                                              names=[id_col, "ids"])
 
     return docs.select(id_col, text_col).mapInArrow(run, common.schema_of(docs, id_col, "ids array<int>"))
 
 
+def _lists(column):
+    """The rows of a list column as arrays (None for null)."""
+    offsets = column.offsets.to_numpy()
+    values = column.values.fill_null(-1).to_numpy(zero_copy_only=False)
+    for ok, a, b in zip(column.is_valid().to_pylist(), offsets[:-1], offsets[1:]):
+        yield values[a:b] if ok else None
+
+
 def decode(encoded: DataFrame, model_path: str | None = None, keep: str = "doc_id,ids") -> DataFrame:
     """The columns ``keep`` (with ``ids``) and decoded string."""
     pieces_of = _model(encoded, model_path)
@@ -166,18 +193,31 @@ def decode(encoded: DataFrame, model_path: str | None = None, keep: str = "doc_i
     def run(batches):
         pieces = pieces_of()
         for batch in batches:
-            texts = [None if x.as_py() is None else pieces.decode(x.as_py()) for x in batch.column(at)]
+            texts = [None if x is None else pieces.decode(x) for x in _lists(batch.column(at))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*names, "decoded"])
 
     return encoded.select(*names).mapInArrow(run, common.schema_of(encoded, keep, "decoded string"))
 
 
-def id_bytes_crc32(ids):
-    """Unsigned CRC-32 of an id array as little-endian 32-bit integers."""
-    word = F.transform(ids, lambda i: F.lpad(F.hex(i.cast("int")), 8, "0"))
-    swapped = F.transform(word, lambda h: F.concat(F.substring(h, 7, 2), F.substring(h, 5, 2),
-                                                   F.substring(h, 3, 2), F.substring(h, 1, 2)))
-    return F.crc32(F.unhex(F.array_join(swapped, "")))
+def round_trip(docs: DataFrame, model_path: str | None = None, id_col: str = "doc_id",
+               text_col: str = "text") -> DataFrame:
+    """(id, ids_le binary, decoded string) of every row: the ids as
+    little-endian 32-bit integers, and what they decode to, in one pass."""
+    pieces_of = _model(docs, model_path)
+
+    def run(batches):
+        pieces = pieces_of()
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 512):  # bounds the ids held at once
+                part = batch.slice(lo, 512)
+                ids = [None if t is None else pieces.encode(t) for t in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array([None if x is None else x.tobytes() for x in ids], pa.binary()),
+                     pa.array([None if x is None else pieces.decode(x) for x in ids], pa.string())],
+                    names=[id_col, "ids_le", "decoded"])
+
+    return docs.select(id_col, text_col).mapInArrow(
+        run, common.schema_of(docs, id_col, "ids_le binary, decoded string"))
 
 
 common.ship(__name__)

@@ -5,8 +5,6 @@ import zlib
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
-
 from giftlink.llm import common, packing, sentence_pieces, token_counts
 
 ODD = [None, "", " ", "a", "Hello, World! it's 42.", "naïve café ÀÉ ß Σίσυφος 日本語 😀", "x" * 5000, "a\x1cb c\u3000d",
@@ -84,33 +82,44 @@ def pieces():
 
 def test_viterbi_finds_the_best_score(pieces):
     rnd = random.Random(3)
-    words = [w for t in ODD if t for w in sentence_pieces.WORD.findall("▁" + t.replace(" ", "▁"))][:400]
+    words = [w for t in ODD if t for w in sentence_pieces.UNIT.findall("▁" + t.replace(" ", "▁"))][:400]
     words += ["▁" + "".join(rnd.choice("theranioné日q") for _ in range(rnd.randint(1, 15))) for _ in range(400)]
+    words += ["▁a b c d".replace(" ", "▁"), "▁the\nend"]  # whole texts: cutting at words loses nothing
     for w in words:
         ids = pieces.viterbi(w)
-        score = n = 0
         known = [pieces.text[i] for i in ids if i in pieces.text]
-        score = sum(pieces.scores[x] for x in known)
         n = len(known) + len(w) - sum(map(len, known))  # one step for an unknown character
+        score = sum(pieces.scores[x] for x in known)
         score += pieces.unknown_score * (len(w) - sum(map(len, known)))
         assert (score, -n) == pytest.approx(dp_score(pieces, w))
 
 
+def test_units_are_encoded_like_whole_texts(pieces):
+    rnd = random.Random(8)
+    for t in [x for x in ODD if x and len(x) < 500] + [
+            "".join(rnd.choice("the an  \n.é▁\0") for _ in range(40)) for _ in range(200)]:
+        whole = pieces.viterbi("▁" + t.replace(" ", "▁"))
+        assert pieces.encode(t).tolist() == whole, t
+
+
 def test_sentence_pieces_round_trip(spark, pieces):
-    df = sentence_pieces.decode(sentence_pieces.encode(docs_of(spark, ODD)))
-    for r, t in zip(df.collect(), ODD):
-        assert r.decoded == (t if t is None else t.replace("▁", " "))
-        assert (r.ids is None) == (t is None)
-        if t:
-            assert r.ids == [i for w in sentence_pieces.WORD.findall("▁" + t.replace(" ", "▁"))
-                             for i in pieces.viterbi(w)]
+    docs = docs_of(spark, ODD + ["\U000f0041 private", "a\0b \n\n c"])
+    texts = ODD + ["\U000f0041 private", "a\0b \n\n c"]
+    df = sentence_pieces.decode(sentence_pieces.encode(docs))
+    once = sentence_pieces.round_trip(docs).collect()
+    for r, o, t in zip(df.collect(), once, texts):
+        assert r.decoded == o.decoded == (t if t is None else t.replace("▁", " "))
+        assert (r.ids is None) == (o.ids_le is None) == (t is None)
+        if t is not None:
+            assert np.frombuffer(o.ids_le, "<i4").tolist() == r.ids == pieces.encode(t).tolist()
     assert sentence_pieces.encode(docs_of(spark, [])).count() == 0
+    assert sentence_pieces.round_trip(docs_of(spark, [])).count() == 0
 
 
-def test_id_crc32(spark):
-    df = spark.createDataFrame([([1, 2, 31999],), ([],), (None,)], "ids array<int>")
-    got = [r[0] for r in df.select(sentence_pieces.id_bytes_crc32(F.col("ids"))).collect()]
-    assert got == [zlib.crc32(np.array([1, 2, 31999], "<u4").tobytes()), zlib.crc32(b""), None]
+def test_ids_that_are_no_text(spark):
+    df = spark.createDataFrame([(1, [-5, 1, 99999, None]), (2, [3 + 0xC3, 260]), (3, None), (4, [])],
+                               "doc_id long, ids array<int>")
+    assert [r.decoded for r in sentence_pieces.decode(df).collect()] == ["", "\ufffd" + " " * 4, None, ""]
 
 
 # ---- packing -------------------------------------------------------------
