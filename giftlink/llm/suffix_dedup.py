@@ -44,12 +44,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from giftlink.llm import common
+from giftlink.llm.tasks import worker_state
 
 LENGTH = 400
 GRAM = 128
 MAX_CONTEXTS = 50_000
 CHUNK = 1 << 18
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
@@ -267,10 +268,9 @@ def text_key(text):
 
 
 def _anchor_rows(docs: DataFrame, text_col: str, length: int, gram: int, chunk: int) -> DataFrame:
-    state = common.worker_state
 
     def run(batches):
-        powers = state("suffix_powers", Powers)
+        powers = worker_state("suffix_powers", Powers)
         for b in batches:
             for lo in range(0, b.num_rows, 256):  # bounds the rows held at once
                 keys, cols = [], []
@@ -306,7 +306,6 @@ def _contexts(reps: DataFrame, docs: DataFrame, text_col: str, length: int) -> D
 
 def _sorted_edges(contexts: DataFrame, length: int, batch_bytes: int) -> DataFrame:
     """(th, s, e): spans of repeated strings among contexts of one gram."""
-    state = common.worker_state
 
     def judge(rows, powers):
         rows.sort(key=lambda r: r[0])
@@ -318,7 +317,7 @@ def _sorted_edges(contexts: DataFrame, length: int, batch_bytes: int) -> DataFra
              pa.array([x[2] for x in out], pa.int64())], names=["th", "s", "e"])
 
     def run(batches):
-        powers = state("suffix_powers", Powers)
+        powers = worker_state("suffix_powers", Powers)
         rows, size, last = [], 0, None
         for b in batches:  # sorted by gram: whole groups are judged together
             for r in zip(*(c.to_pylist() for c in b.columns)):
@@ -347,7 +346,7 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", length: int = LENGTH
                    max_contexts: int = MAX_CONTEXTS, chunk: int = CHUNK, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """(th, s, e): spans of bytes covered by repeated strings, by text key.
     Spans may overlap."""
-    rows = common.written(_anchor_rows(docs, text_col, length, gram, chunk), "anchors")
+    rows = common.written(_anchor_rows(common.in_small_batches(docs), text_col, length, gram, chunk), "anchors")
     grams = (rows.groupBy("g").agg(F.count("*").alias("k"), F.min("c").alias("c1"), F.max("c").alias("c2"))
              .where("k > 1").select("g", (F.col("c1") != F.col("c2")).alias("mixed")))
     hits = common.written(rows.join(grams, "g"), "anchor-hits")
@@ -380,31 +379,35 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", keep: list | None =
                        text_key(F.col(text_col)).alias("th")).join(spans, "th", "left")
     k = len(names)
 
+    def cut(batch):
+        sizes, removed, runs, kept = [], [], [], []
+        for raw, spans_ in zip(batch.column(k).to_pylist(), batch.column(k + 1).to_pylist()):
+            merged = []
+            for x in spans_ or ():
+                if merged and x["s"] <= merged[-1]["e"]:
+                    merged[-1]["e"] = max(merged[-1]["e"], x["e"])
+                else:
+                    merged.append(dict(x))
+            at, parts = 0, []
+            for x in merged:
+                parts.append(raw[at:x["s"]])
+                at = x["e"]
+            parts.append(raw[at:])
+            rest = b"".join(parts)
+            sizes.append(len(raw))
+            removed.append(len(raw) - len(rest))
+            runs.append(merged)
+            kept.append(rest)
+        span_type = pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))
+        return pa.RecordBatch.from_arrays(
+            [*batch.columns[:k], pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()),
+             pa.array(runs, span_type), pa.array(kept, pa.binary())],
+            names=[*names, "n_bytes", "n_removed", "spans", "kept"])
+
     def run(batches):
         for batch in batches:
-            sizes, removed, runs, kept = [], [], [], []
-            for raw, spans_ in zip(batch.column(k).to_pylist(), batch.column(k + 1).to_pylist()):
-                merged = []
-                for x in spans_ or ():
-                    if merged and x["s"] <= merged[-1]["e"]:
-                        merged[-1]["e"] = max(merged[-1]["e"], x["e"])
-                    else:
-                        merged.append(dict(x))
-                at, parts = 0, []
-                for x in merged:
-                    parts.append(raw[at:x["s"]])
-                    at = x["e"]
-                parts.append(raw[at:])
-                rest = b"".join(parts)
-                sizes.append(len(raw))
-                removed.append(len(raw) - len(rest))
-                runs.append(merged)
-                kept.append(rest)
-            span_type = pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:k], pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()),
-                 pa.array(runs, span_type), pa.array(kept, pa.binary())],
-                names=[*names, "n_bytes", "n_removed", "spans", "kept"])
+            for lo in range(0, batch.num_rows, 256):  # bounds the rows held at once
+                yield cut(batch.slice(lo, 256))
 
     return rows.select(*names, "_b", "w").mapInArrow(run, common.schema_of(
         docs, ",".join(names), "n_bytes long, n_removed long, spans array<struct<s: bigint, e: bigint>>, kept binary"))
