@@ -22,8 +22,12 @@ shares most buckets with others, so a group of thousands of copies of one
 text costs one pair per copy. Large buckets whose texts are not all in one
 class by then are bucketed again by pairs of sketches, which separates texts
 that merely share a hot passage; there, too, small buckets emit all pairs and
-large ones the hub's, between different classes only. No row is capped or
-sampled.
+large ones the hub's, between different classes only. The texts of large
+buckets that hold several classes even then are compared exactly
+(``close_pairs``): with a text's labelled shingles ordered from the rarest on,
+two similar texts share one so early that enough shingles follow in both, so
+pairs of different classes are found by a join on those first shingles. No
+row is capped or sampled.
 
 Defined results: texts without words (null, empty, white space) are copies of
 each other; texts under five words are one shingle; repeated rows and
@@ -51,6 +55,9 @@ THRESHOLD = 0.8
 SMALL = 12
 OFFSETS = (1, 2, 5, 9)  # partners of a sketch in the second bucketing
 CACHE_WORDS = 200_000
+SLOTS = 1 << 18  # counters of shingle frequencies
+CHUNK = 256  # texts of one class in a block of the exact comparison
+SHARES = (64, 16, 4, 1)  # of the exact comparison's pairs, verified in turn
 
 MULT = np.uint64(0x9E3779B97F4A7C15)
 BASE = np.uint64(0xBF58476D1CE4E5B9)
@@ -97,7 +104,7 @@ def labelled(s):
     new = np.ones(len(v), bool)
     new[1:] = v[1:] != v[:-1]
     if new.all():
-        return s
+        return mix(s)
     at = np.arange(len(v))
     nth = np.empty(len(v), np.uint64)
     nth[order] = (at - np.maximum.accumulate(np.where(new, at, 0))).astype(np.uint64)
@@ -224,6 +231,16 @@ def shared_buckets(texts: DataFrame) -> DataFrame:
     return common.written(shared.join(shared.groupBy("th").agg(F.sum("n").alias("deg")), "th"), "degrees")
 
 
+def mixed_texts(shared: DataFrame, classes: DataFrame, small: int) -> DataFrame:
+    """The rows of ``shared`` in large buckets that hold several classes,
+    with each text's class (``root``)."""
+    large = (shared.where(F.col("n") > small).join(classes.withColumnRenamed("v", "th"), "th", "left")
+             .withColumn("root", F.coalesce("root", "th")))
+    mixed = (large.groupBy("t", "s").agg(F.min("root").alias("r1"), F.max("root").alias("r2"))
+             .where("r1 <> r2").select("t", "s"))
+    return large.join(mixed, ["t", "s"])
+
+
 def linked(texts: DataFrame, docs: DataFrame, threshold: float, text_col: str, small: int,
            offsets: tuple = OFFSETS) -> DataFrame:
     """(v, root): classes of the texts (th, sk) that have a link."""
@@ -231,19 +248,119 @@ def linked(texts: DataFrame, docs: DataFrame, threshold: float, text_col: str, s
     first = shared.select(F.struct("t", "s").alias("key"), "th", "deg", F.col("th").alias("root"))
     links = common.written(verified(_pairs(first, small), docs, threshold, text_col), "verified")
     classes = components(links)
-    # large buckets that still hold several classes
-    large = (shared.where(F.col("n") > small).join(classes.withColumnRenamed("v", "th"), "th", "left")
-             .withColumn("root", F.coalesce("root", "th")))
-    mixed = (large.groupBy("t", "s").agg(F.min("root").alias("r1"), F.max("root").alias("r2"))
-             .where("r1 <> r2").select("t", "s"))
-    open_ = common.written(large.join(mixed, ["t", "s"]).join(texts, "th").withColumn(
+    open_ = common.written(mixed_texts(shared, classes, small).join(texts, "th").withColumn(
         "o", F.explode(F.array(*[F.lit(o) for o in offsets]))).select(
         F.struct("t", "s", "o", F.get("sk", (F.col("t") + F.col("o")) % F.size("sk")).alias("s2")).alias("key"),
         "th", "deg", "root"), "open")
+    if open_.isEmpty():
+        return classes
     more = common.written(_pairs(open_, small).join(links, ["a", "b"], "left_anti"), "more")
-    if more.isEmpty():
+    if not more.isEmpty():
+        links = common.written(links.unionByName(verified(more, docs, threshold, text_col)), "verified")
+        classes = components(links)
+    # what is still mixed is compared exactly
+    rest = common.written(mixed_texts(shared, classes, small).select("th", "root").distinct(), "rest")
+    if rest.isEmpty():
         return classes
-    return components(links.unionByName(verified(more, docs, threshold, text_col)))
+    pairs = common.written(close_pairs(rest, docs, threshold, text_col), "close")
+    n, shares = pairs.count(), SHARES
+    if n <= 4 * rest.count():
+        shares = SHARES[-1:]
+    last = None
+    for share in shares:  # a group of many similar texts is one class after few of its pairs
+        todo = pairs.where(F.pmod(F.xxhash64("a", "b"), F.lit(share)) == 0)
+        if last:
+            todo = todo.where(F.pmod(F.xxhash64("a", "b"), F.lit(last)) != 0)
+        of = classes.withColumnRenamed("root", "r")
+        todo = (todo.join(of.withColumnRenamed("v", "a").withColumnRenamed("r", "ra"), "a", "left")
+                .join(of.withColumnRenamed("v", "b").withColumnRenamed("r", "rb"), "b", "left")
+                .where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b"))
+        found = common.written(verified(common.written(todo, "todo"), docs, threshold, text_col), "found")
+        if not found.isEmpty():
+            links = links.unionByName(found)
+            classes = components(links)
+        last = share
+    return classes
+
+
+def first_shingles(s, counts, threshold: float):
+    """(shingles, places): the labelled shingles of a text, from the rarest
+    on, of which a text with similarity ``threshold`` shares one at least.
+    Those that no other text has are left out."""
+    n = len(s)
+    c = counts[(s % np.uint64(len(counts))).astype(np.int64)]
+    order = np.lexsort((s, c))[:int((1 - threshold) * n + 1e-6) + 1]
+    at = np.flatnonzero(c[order] > 1)
+    return s[order[at]], at
+
+
+def close_pairs(rest: DataFrame, docs: DataFrame, threshold: float, text_col: str) -> DataFrame:
+    """All pairs (a, b) of the texts ``rest`` (th, root) in different classes
+    that can be similar. In the order by frequency, the first shingle that
+    two texts share has all others they share behind it: it is a match only
+    if enough shingles follow in both."""
+    texts = (docs.select(text_key(F.col(text_col)).alias("th"), F.col(text_col).alias("text"))
+             .join(rest, "th").dropDuplicates(["th"]))
+    texts = common.written(texts, "texts")
+
+    def shingled(t, cache):
+        w = word_hashes((t or "").lower().split(), cache)
+        return labelled(shingles(w)) if len(w) else np.zeros(1, np.uint64)
+
+    def count(batches):
+        cache, total = worker_state("order_minhash", dict), np.zeros(SLOTS, np.int64)
+        for b in batches:
+            for t in b.column(0):
+                total += np.bincount((shingled(t.as_py(), cache) % np.uint64(SLOTS)).astype(np.int64),
+                                     minlength=SLOTS)
+        at = np.flatnonzero(total)
+        for lo in range(0, len(at), 10_000):
+            part = at[lo:lo + 10_000]
+            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(total[part])], names=["slot", "n"])
+
+    frequency = (texts.select("text").mapInArrow(count, "slot bigint, n bigint")
+                 .groupBy("slot").agg(F.sum("n").alias("n")).toArrow())  # at most SLOTS rows
+    counts = np.zeros(SLOTS, np.int64)
+    counts[frequency["slot"].to_numpy()] = frequency["n"].to_numpy()
+
+    def first(batches):
+        cache = worker_state("order_minhash", dict)
+        for b in slices(batches):
+            found = [(len(s), *first_shingles(s, counts, threshold))
+                     for s in (shingled(t, cache) for t in b.column(2).to_pylist())]
+            many = [len(x[1]) for x in found]
+            row = np.repeat(np.arange(len(found)), many)
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0).take(pa.array(row)), b.column(1).take(pa.array(row)),
+                 pa.array(np.concatenate([x[1] for x in found]).view(np.int64)),
+                 pa.array(np.repeat([x[0] for x in found], many).astype(np.int32)),
+                 pa.array(np.repeat([x[0] for x in found], many).astype(np.int32)
+                          - np.concatenate([x[2] for x in found]).astype(np.int32))],
+                names=["th", "root", "g", "n", "left"])
+
+    rows = common.written(texts.select("th", "root", "text").mapInArrow(
+        first, "th binary, root binary, g bigint, n int, left int"), "first")
+    # texts of one class stand together, in blocks, and are not compared
+    sizes = rows.groupBy("g", "root").agg(F.count("*").alias("size"))
+    several = sizes.groupBy("g").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2")
+    blocks = (rows.join(sizes.join(several.select("g"), "g"), ["g", "root"])
+              .withColumn("chunk", F.pmod(F.xxhash64("th"), F.ceil(F.col("size") / CHUNK)))
+              .groupBy("g", "root", "chunk").agg(F.collect_list(F.struct("th", "n", "left")).alias("m"),
+                                                 F.min("n").alias("n"), F.max("left").alias("left")))
+    blocks = common.written(blocks.drop("chunk"), "blocks")
+    need = threshold / (1 + threshold)
+
+    def fits(x, y):
+        return F.least(x("left"), y("left")) >= need * (x("n") + y("n")) - 1e-6
+
+    x, y = blocks.alias("x"), blocks.alias("y")
+    both = x.join(y, (F.col("x.g") == F.col("y.g")) & (F.col("x.root") < F.col("y.root"))
+                  & fits(lambda c: F.col(f"x.{c}"), lambda c: F.col(f"y.{c}")))
+    pairs = both.select(F.explode(F.flatten(F.transform("x.m", lambda p: F.transform(
+        F.filter("y.m", lambda q: fits(p.getField, q.getField)),
+        lambda q: F.struct(F.least(p["th"], q["th"]).alias("a"), F.greatest(p["th"], q["th"]).alias("b"))))))
+        .alias("p"))
+    return pairs.select("p.a", "p.b").distinct()
 
 
 def verified(pairs: DataFrame, docs: DataFrame, threshold: float, text_col: str = "text") -> DataFrame:

@@ -125,3 +125,55 @@ def test_alignment_equals_lcs():
 def test_repeated_shingles_are_told_apart():
     s = M.shingles(M.word_hashes("a a a a a a a a".split(), {}))
     assert len(set(s.tolist())) == 1 and len(set(M.labelled(s).tolist())) == len(s)
+
+
+def template_pages(seed, n, words=250, rounds=0.87):
+    """Pages of one template, with a fixture's own words in one piece; every
+    second one with a partner that is similar to it and to no other page."""
+    rnd = random.Random(seed)
+    template = text(rnd, int(words * rounds))
+    out = []
+    for i in range(n):
+        own = text(rnd, words - len(template))
+        out.append(" ".join(template[:100] + own + template[100:]))
+        if i % 2:
+            own[-len(own) // 3:] = text(rnd, len(own) // 3)
+            out.append(" ".join(template[:100] + own + template[100:]))
+    return out
+
+
+@pytest.mark.parametrize("n", [120])
+def test_pairs_among_pages_of_one_template(spark, n):
+    texts = template_pages(11, n)
+    want = brute_shingles(texts)
+    assert 40 < len(texts) - len(set(want)) <= n // 2  # the planted pairs, most pages alone
+    got = {r.doc_id: r.class_id for r in M.near_duplicates(frame(spark, texts)).collect()}
+    assert got == dict(enumerate(want))
+
+
+def brute_shingles(texts):
+    """``brute`` for many texts: the alignment only of similar ones."""
+    grams = []
+    for t in texts:
+        w = t.lower().split()
+        grams.append(Counter(tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))))
+    root = list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+    for i in range(len(texts)):
+        for j in range(i):
+            both = sum((grams[i] & grams[j]).values())
+            if (both / (sum(grams[i].values()) + sum(grams[j].values()) - both) >= .8
+                    and lcs_share(texts[i], texts[j]) >= .8):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    return [find(i) for i in range(len(texts))]
+
+
+def test_a_repeated_shingle_leaves_the_others_alike():
+    one = M.labelled(M.shingles(M.word_hashes("a b c d e f g h i j".split(), {})))
+    two = M.labelled(M.shingles(M.word_hashes("a b c d e f g h i j a b c d e".split(), {})))
+    assert len(np.intersect1d(one, two)) == len(one)
