@@ -120,3 +120,21 @@ def test_recall_on_the_given_table(spark):
         got.setdefault(r.query_id, set()).add(r.vec_id)
     recall = sum(len(got[i] & {j for _, j in best}) for (_, i), best in want.items()) / (5 * len(want))
     assert recall >= 0.95, recall
+
+
+@pytest.mark.parametrize("apart", [1.5, 3.0])
+def test_recall_in_clusters(spark, apart):
+    """Files of some hundred vectors of one cluster."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(20, 64))[rng.integers(0, 20, 20_000)] * apart + rng.normal(size=(20_000, 64))
+    x = x.astype(np.float32)
+    u = P.unit(x)
+    score = u[::100] @ u.T
+    score[np.arange(200), np.arange(0, 20_000, 100)] = -2
+    want = np.argsort(-score, axis=1)[:, :5]
+    got = {}
+    df = vectors(spark, [(i, v.tolist()) for i, v in enumerate(x)])
+    for r in P.search(df, F.col("id") % 100 == 0).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hit = sum(len(got[100 * i] & set(w.tolist())) for i, w in enumerate(want))
+    assert hit / 1000 >= 0.95, hit / 1000
