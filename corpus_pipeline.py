@@ -32,7 +32,14 @@ def suffix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     columns = docs.columns
     out = suffix_dedup.remove_repeats(docs, keep=columns)
     cut = F.col("n_removed") > 0
-    rest = F.replace(F.make_valid_utf8(F.col("kept").cast("string")), F.lit("�"), F.lit(""))
+    # the text's own U+FFFD are written as mark + 1 (and the mark as mark + 0)
+    # while those that stand for broken bytes are deleted
+    rest = F.col("kept").cast("string")
+    for old, new in (("\ufdd0", "\ufdd00"), ("\ufffd", "\ufdd01")):
+        rest = F.replace(rest, F.lit(old), F.lit(new))
+    rest = F.make_valid_utf8(rest)
+    for old, new in (("\ufffd", ""), ("\ufdd01", "\ufffd"), ("\ufdd00", "\ufdd0")):
+        rest = F.replace(rest, F.lit(old), F.lit(new))
     return (out.withColumn("text", F.when(cut, rest).otherwise(F.col("text")))
             .withColumn("n_chars", F.when(cut, F.length("text").cast(docs.schema["n_chars"].dataType))
                         .otherwise(F.col("n_chars")))

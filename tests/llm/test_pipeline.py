@@ -52,3 +52,14 @@ def test_empty_table(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF)
         assert docs.count() == 0
+
+
+def test_suffix_keeps_the_texts_own_replacement_characters(spark, monkeypatch):
+    import corpus_pipeline
+    from pyspark.sql import functions as F
+    kept = "a\ufffdb\ufdd01\ufdd00".encode() + "\u20ac".encode()[:2] + "c\ufffd".encode()
+    docs = spark.createDataFrame([(1, "whole text", 10)], "doc_id long, text string, n_chars int")
+    monkeypatch.setattr(corpus_pipeline.suffix_dedup, "remove_repeats", lambda d, keep: d.withColumn(
+        "kept", F.lit(kept)).withColumn("n_removed", F.lit(1)))
+    row = corpus_pipeline.suffix(spark, docs, "").first()
+    assert row.text == "a\ufffdb\ufdd01\ufdd00c\ufffd" and row.n_chars == len(row.text)
