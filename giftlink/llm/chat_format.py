@@ -5,10 +5,12 @@ speaker as the assistant and all others as named users, together with the
 loss mask that selects what the assistant says (text and end tag).
 
 Everything is DataFrame functions. A conversation is rendered in parts of a
-bounded number of turns, so a conversation with a third of all rows never
-meets in one task as a whole: parts are cut at multiples of
-``turns_per_part`` in the turn number, and turns that repeat a number beyond
-that are cut again by their order. The parts of a perspective, in order
+bounded number of turns: they are cut at multiples of ``turns_per_part`` in
+the turn number, and turns that repeat a number beyond that are cut again by
+their order. So a conversation with a third of all rows does not meet in one
+task as a whole if its turns are numbered; to be put in order, the rows of one
+range of turn numbers do meet in one, and so do all null turns of a
+conversation (nothing is lost, the sort spills). The parts of a perspective, in order
 (``part``, ``subpart``), concatenate to the whole rendering; spans count
 characters from the start of their part.
 
