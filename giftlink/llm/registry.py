@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from giftlink.llm import (chat_format, cotraining, hamming_topk, order_minhash, packing, permutation_index,
-                          sentence_pieces, suffix_dedup, token_counts, url_filter)
+from giftlink.llm import (chat_format, collocations, cotraining, hamming_topk, merkle_manifest, order_minhash, packing,
+                          permutation_index, sentence_pieces, suffix_dedup, token_counts, url_filter)
 from giftlink.llm.common import table
 from pyspark.sql import functions as F
 
@@ -58,9 +58,18 @@ def op10_order_minhash(spark, sf_dir):
     return order_minhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_rows")
 
 
+def op11_merkle_manifest(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return merkle_manifest.Manifest(docs, merkle_manifest.tampered(docs)).check()
+
+
+def op13_collocations(spark, sf_dir):
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_cotraining, op2_packing, op3_hamming_topk, op4_token_counts, op5_suffix_dedup,
                                    op6_url_filter, op7_permutation_index, op8_sentence_pieces,
-                                   op9_chat_format, op10_order_minhash)}
+                                   op9_chat_format, op10_order_minhash, op11_merkle_manifest, op13_collocations)}
 
 ORACLES = {
     "op3_hamming_topk": f"""
@@ -115,4 +124,85 @@ select conv_id, perspective, part, subpart, count(*) as n_turns,
        sum(length(head) + length(body)) as n_chars,
        coalesce(sum(length(body)) filter (own), 0) as n_loss_chars
 from o group by conv_id, perspective, part, subpart""",
+    "op11_merkle_manifest": """
+with recursive f as (
+  select doc_id, lang,
+         coalesce(strlen(cast(doc_id as varchar)) || ':' || doc_id, '-') as f1,
+         coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') as f2,
+         coalesce(strlen(cast(n_chars as varchar)) || ':' || n_chars, '-') as f3,
+         coalesce(strlen(cast(n_chars + 1 as varchar)) || ':' || (n_chars + 1), '-') as f3_told,
+         coalesce(strlen(text) || ':' || text, '-') as f4,
+         -- CRC-32 of the digits: a byte is a number >= 0, each -1 shifts by a bit
+         xor(4294967295, list_reduce(list_concat([4294967295::bigint], flatten(list_transform(
+           range(1, 1 + length(cast(doc_id as varchar))),
+           lambda i: list_concat([ord(cast(doc_id as varchar)[i])::bigint], [-1, -1, -1, -1, -1, -1, -1, -1])))),
+           lambda c, x: case when x >= 0 then xor(c, x) else xor(c >> 1, 3988292384 * (c & 1)) end)) as crc
+  from documents),
+leaves as (
+  select doc_id, lang, sha256(f1 || f2 || f3 || f4) as leaf,
+         case when crc % 7 = 0 then sha256(f1 || f2 || f3_told || f4) end as told from f),
+d as (
+  select *, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as pos,
+         count(*) over (partition by lang) as n from leaves),
+lv as (
+  select lang, 0 as l, pos, n, leaf as h from d
+  union all
+  select lang, l + 1, pos // 2, (n + 1) // 2, sha256(h || coalesce(nxt, '')) from (
+    select *, lead(h) over (partition by lang order by pos) as nxt from lv where n > 1) where pos % 2 = 0),
+subs as (
+  select lang, h as subroot, row_number() over (order by lang nulls first) - 1 as pos, count(*) over () as n
+  from lv where n = 1),
+tv as (
+  select 0 as l, pos, n, subroot as h from subs
+  union all
+  select l + 1, pos // 2, (n + 1) // 2, sha256(h || coalesce(nxt, '')) from (
+    select *, lead(h) over (order by pos) as nxt from tv where n > 1) where pos % 2 = 0),
+paths as (
+  select d.lang, d.pos, own.l, case when (own.pos & 1) = 1 then 'L' else 'R' end || coalesce(sib.h, '') as s
+  from d join lv as own on own.lang is not distinct from d.lang and own.n > 1 and own.pos = d.pos >> own.l
+  left join lv as sib on sib.lang is not distinct from d.lang and sib.l = own.l and sib.pos = xor(own.pos, 1)
+  union all
+  select d.lang, d.pos, 1000 + own.l, case when (own.pos & 1) = 1 then 'L' else 'R' end || coalesce(sib.h, '')
+  from d join subs on subs.lang is not distinct from d.lang
+  join tv as own on own.n > 1 and own.pos = subs.pos >> own.l
+  left join tv as sib on sib.l = own.l and sib.pos = xor(own.pos, 1)),
+ways as (select lang, pos, list(s order by l) as way from paths group by lang, pos),
+done as (
+  select d.doc_id, d.leaf, subs.subroot, (select h from tv where n = 1) as root,
+         sha256(coalesce(list_aggregate(list_transform(way, lambda x: x[2:]), 'string_agg', ''), '')) as proof_sha256,
+         list_reduce(list_concat(['R' || coalesce(told, leaf)], coalesce(way, [])),
+           lambda h, x: 'R' || case when x[1] = 'L' then sha256(x[2:] || h[2:]) else sha256(h[2:] || x[2:]) end)[2:]
+           as folded_root
+  from d join subs on subs.lang is not distinct from d.lang
+  left join ways on ways.lang is not distinct from d.lang and ways.pos = d.pos)
+select *, folded_root = root as verified from done""",
+    "op13_collocations": f"""
+with words as (
+  select coalesce(lang, 'und') as lang, list_filter(regexp_split_to_array(unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\\x0A-\\x0D]')), '[ \\t]+'), lambda w: w <> '') as w from documents),
+n as (select lang, cast(sum(len(w)) as bigint) as n from words group by lang),
+f as (
+  select lang, k, phrase, count(*) as a from (
+    select lang, k, unnest(list_transform(range(1, len(w) - k + 2),
+                                          lambda i: array_to_string(w[i:i + k - 1], ' '))) as phrase
+    from words, (values (1), (2), (3), (4)) as t(k) where len(w) >= k) group by lang, k, phrase
+  having count(*) >= {collocations.SUPPORT}),
+cand as (select *, string_split(phrase, ' ') as w from f where k > 1),
+cuts as (
+  select lang, phrase, k, a, c, array_to_string(w[:c], ' ') as lp, array_to_string(w[c + 1:], ' ') as rp
+  from cand, (values (1), (2), (3)) as t(c) where c < k),
+scored as (
+  select cuts.*, x.a as l, y.a as r, cast((2000000::hugeint * cuts.a) // (x.a + y.a) as bigint) as score
+  from cuts join f as x on x.lang = cuts.lang and x.phrase = lp join f as y on y.lang = cuts.lang and y.phrase = rp),
+weakest as (
+  select * from scored qualify row_number() over (partition by lang, phrase order by score, c) = 1),
+inner_ as (
+  select lang, array_to_string(w[i:i + m - 1], ' ') as phrase, max(a) as longer
+  from cand, (values (2), (3)) as t(m), (values (1), (2), (3)) as s(i) where m < k and i + m - 1 <= k group by 1, 2),
+kept as (
+  select weakest.* from weakest left join inner_ using (lang, phrase)
+  where longer is null or 100::hugeint * longer < {collocations.EXPLAINED} * weakest.a),
+ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept)
+select lang, rank, phrase, a, l, r, n, score from ranked join n using (lang) where rank <= {collocations.TOP}""",
 }
