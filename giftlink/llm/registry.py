@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from giftlink.llm import (chat_format, collocations, cotraining, hamming_topk, merkle_manifest, order_minhash, packing,
-                          permutation_index, sentence_pieces, suffix_dedup, token_counts, url_filter)
+from giftlink.llm import (chat_format, collocations, cotraining, hamming_topk, language_id, merkle_manifest,
+                          order_minhash, packing, permutation_index, sentence_pieces, suffix_dedup, token_counts, url_filter)
 from giftlink.llm.common import table
 from pyspark.sql import functions as F
 
@@ -63,13 +63,19 @@ def op11_merkle_manifest(spark, sf_dir):
     return merkle_manifest.Manifest(docs, merkle_manifest.tampered(docs)).check()
 
 
+def op12_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", language_id.held_out(F.col("doc_id")))
+    return language_id.Identifier(docs.where("not held_out")).predict(docs, "doc_id,held_out")
+
+
 def op13_collocations(spark, sf_dir):
     return collocations.mine(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (op1_cotraining, op2_packing, op3_hamming_topk, op4_token_counts, op5_suffix_dedup,
                                    op6_url_filter, op7_permutation_index, op8_sentence_pieces,
-                                   op9_chat_format, op10_order_minhash, op11_merkle_manifest, op13_collocations)}
+                                   op9_chat_format, op10_order_minhash, op11_merkle_manifest, op12_language_id,
+                                   op13_collocations)}
 
 ORACLES = {
     "op3_hamming_topk": f"""

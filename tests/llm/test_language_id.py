@@ -1,0 +1,136 @@
+"""Kneser-Ney language identification against a plain restatement."""
+
+import math
+import unicodedata
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from giftlink.llm import language_id, registry
+
+from conftest import SF001
+
+
+def plain_words(text):
+    out, word = [], ""
+    for ch in (text or "").lower() + " ":
+        kind = unicodedata.category(ch)[0]
+        if kind == "L" or kind == "M" and word:
+            word += ch
+        else:
+            if word:
+                out.append(word)
+            word = ""
+    return out
+
+
+class Plain:
+    """Interpolated Kneser-Ney by the formula, on dictionaries."""
+
+    def __init__(self, texts, order):
+        self.order, self.c = order, [Counter() for _ in range(order + 1)]
+        windows = Counter()
+        for t in texts:
+            for w in plain_words(t):
+                s = "<" + w + ">"
+                windows.update(s[max(0, i - order + 1):i + 1] for i in range(1, len(s)))
+        for n in range(order, 0, -1):
+            self.c[n].update({g: k for g, k in windows.items() if len(g) == n and (n == order or g[0] == "<")})
+            if n < order:
+                before = defaultdict(set)
+                for g in self.c[n + 1]:
+                    before[g[1:]].add(g[0])
+                self.c[n].update({g: len(x) for g, x in before.items()})
+        self.d = [None] + [(sum(v == 1 for v in c.values()) + .5) / (sum(v == 1 for v in c.values())
+                           + 2 * sum(v == 2 for v in c.values()) + 1) for c in self.c[1:]]
+
+    def p(self, context, x, floor):
+        lower = self.p(context[1:], x, floor) if context else floor
+        n = len(context) + 1
+        if n == 1:
+            heads = self.c[1]
+        else:
+            heads = {g: v for g, v in self.c[n].items() if g[:-1] == context}
+        total = sum(heads.values())
+        if not total:
+            return lower
+        own = self.c[n].get(context + x, 0)
+        return max(own - self.d[n], 0) / total + self.d[n] * len(heads) / total * lower
+
+    def entropy(self, text, floor):
+        total = n = 0
+        for w in plain_words(text):
+            s = "<" + w + ">"
+            for i in range(1, len(s)):
+                total -= math.log(self.p(s[max(0, i - self.order + 1):i], s[i], floor))
+                n += 1
+        return total / n if n else None
+
+
+TRAIN = [("aa", "the cat sat on the mat. The Cat!"), ("aa", "a hat, a bat; that cat"), ("bb", "der hund und die katze"),
+         ("bb", "und der mund ist rund"), ("cc", "été à la plage, l'éclair"), ("cc", "été çà et là"),
+         (None, "nothing learned zzz"), ("dd", None), ("bb", "und der mund ist rund")]
+ASKED = [(1, "that cat sat"), (2, "der runde hund"), (3, "l'été là"), (4, None), (5, ""), (6, "123 ... \t"), (None, "cat"),
+         (None, "cat"), (7, "жуж"), (8, "der " * 3000), (9, "a" * 5000)]
+
+
+@pytest.mark.parametrize("most", [10 ** 6, 0])
+def test_equals_the_formula_by_arrays_and_by_joins(spark, most):
+    train = spark.createDataFrame(TRAIN, "lang string, text string")
+    asked = spark.createDataFrame([(i, t, "clash", 1.0) for i, t in ASKED],
+                                  "doc_id long, text string, best string, _n double")
+    found = language_id.Identifier(train, order=4, max_entries=most)
+    assert (found.model[2] is None) == (most == 0)
+    rows = sorted(found.predict(asked).collect(), key=str)
+    langs = ["aa", "bb", "cc"]
+    models = {x: Plain([t for lang, t in TRAIN if lang == x], 4) for x in langs}
+    floor = 1 / (len({g for m in models.values() for g in m.c[1]}) + 1)
+    want = []
+    for i, t in ASKED:
+        h = {x: models[x].entropy(t, floor) for x in langs}
+        if h["aa"] is None:
+            want.append((i, "und", 0.0, 0.0))
+        else:
+            low = sorted(h.values())
+            want.append((i, min(langs, key=lambda x: (h[x], x)), low[0], low[1] - low[0]))
+    got = sorted(((r.doc_id, r.lang_pred, round(r.entropy, 9), round(r.margin, 9)) for r in rows), key=str)
+    assert got == sorted(((i, x, round(a, 9), round(b, 9)) for i, x, a, b in want), key=str)
+    assert all(0 <= r.score <= 1 and (r.score == 0 or r.lang_pred != "und") for r in rows)
+    assert not any(r.accepted for r in rows if r.lang_pred == "und")
+
+
+def test_probabilities_sum_to_one():
+    m = Plain([t for lang, t in TRAIN if lang == "aa"], 3)
+    symbols = sorted(m.c[1])
+    for context in ("", "<", "<t", "th", "a"):
+        assert abs(sum(m.p(context, x, 1 / (len(symbols) + 1)) for x in symbols)
+                   + m.p(context, "\x00", 1 / (len(symbols) + 1)) - 1) < 1e-9
+
+
+def test_nothing_learned_one_language_and_empty_tables(spark):
+    asked = spark.createDataFrame([(1, "word"), (2, None)], "doc_id long, text string")
+    none = spark.createDataFrame([(None, "x"), ("aa", None)], "lang string, text string")
+    assert {(r.lang_pred, r.score) for r in language_id.Identifier(none).predict(asked).collect()} == {("und", 0.0)}
+    one = language_id.Identifier(spark.createDataFrame([("aa", "some word")] * 3, "lang string, text string"))
+    assert sorted(r.lang_pred for r in one.predict(asked).collect()) == ["aa", "und"]
+    assert one.predict(asked.limit(0)).count() == 0
+
+
+def test_query_is_right_on_held_out_rows_and_learns_nothing_from_them(spark, tmpdir_path):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    truth = {r.doc_id: r.lang for r in docs.collect()}
+    rows = registry.op12_language_id(spark, SF001).collect()
+    assert len(rows) == len(truth)
+    held = [r for r in rows if r.held_out]
+    assert {r.doc_id for r in held} == {i for i in truth if zlib.crc32(str(i).encode()) % 3 == 1}
+    assert sum(truth[r.doc_id] == r.lang_pred for r in held) >= 0.97 * len(held)
+    sure = [r for r in held if r.accepted]
+    assert len(sure) >= 0.9 * len(held)
+    # other labels and sources on held-out rows change no prediction
+    docs.withColumn("lang", F.when(language_id.held_out(F.col("doc_id")), F.lit("xx")).otherwise(F.col("lang"))).withColumn(
+        "source", F.lit("s")).write.parquet(f"{tmpdir_path}/documents.parquet")
+    again = registry.op12_language_id(spark, tmpdir_path).collect()
+    assert sorted((r.doc_id, r.lang_pred, round(r.score, 9)) for r in rows) == sorted(
+        (r.doc_id, r.lang_pred, round(r.score, 9)) for r in again)
