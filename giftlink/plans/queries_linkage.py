@@ -59,10 +59,10 @@ def q25_lambda(spark, sf_dir):
 
 def q26_u_tf(spark, sf_dir):
     lk = _linkage(spark, sf_dir)
-    u = params.estimate_u(lk.members, lk.settings).select(
+    u = params.estimate_u(lk.members, lk.settings, lk.cube()).select(
         "pool_id", F.lit("u").alias("kind"), "column", F.col("level").cast("string").alias("item"),
         F.col("pairs").alias("n"), "total", F.round("u", 9).alias("share"))
-    tf = params.term_frequencies(lk.members, params.tf_columns(lk.settings)).select(
+    tf = params.term_frequencies(lk.members, params.tf_columns(lk.settings), lk.cube()).select(
         "pool_id", F.lit("tf").alias("kind"), "column", F.col("v").alias("item"),
         F.col("c").alias("n"), F.col("n_nn").alias("total"), F.round("tf", 9).alias("share"))
     return u.unionByName(tf)
