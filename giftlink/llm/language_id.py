@@ -36,6 +36,7 @@ an empty table gives no rows. Other columns are not read and do no harm.
 from __future__ import annotations
 
 from collections import Counter
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -100,37 +101,52 @@ def hashes(many: list):
     return h
 
 
+def windows_of(many: list, counts, order: int):
+    """The distinct longest grams of words, and the sums of the words' counts
+    (one column each). Grams are told apart by exact codes of their symbols."""
+    text = "".join([START + w + END for w in many])
+    sizes = np.fromiter(map(len, many), np.int64, len(many)) + 2
+    letters, symbols = np.unique(codes(text), return_inverse=True)
+    place = np.arange(len(text)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    at = np.flatnonzero(place > 0)
+    base, code, reach = len(letters) + 1, np.zeros(len(at), np.int64), 1
+    for k in range(order):  # 0: before the word
+        if reach * base >= 1 << 62:
+            distinct, code = np.unique(code, return_inverse=True)
+            reach = len(distinct)
+        code = code * base + np.where(place[at] >= k, symbols[np.maximum(at - k, 0)] + 1, 0)
+        reach *= base
+    _, first, inverse = np.unique(code, return_index=True, return_inverse=True)
+    word = np.repeat(np.arange(len(many)), sizes)[at]
+    sums = [np.zeros(len(first), np.int64) for _ in range(counts.shape[1])]
+    for k, total in enumerate(sums):
+        np.add.at(total, inverse, counts[word, k])
+    ends = at[first]
+    starts = ends - np.minimum(place[ends], order - 1)
+    return [text[i:j] for i, j in zip(starts.tolist(), (ends + 1).tolist())], sums
+
+
 def _count(order: int):
     def run(batches):
         held, size = {}, 0
 
         def out():
-            found = {}
-            for (lang, fold), seen in held.items():
-                for word, n in seen.items():
-                    for g in grams(word, order):
-                        both = found.setdefault((lang, g), [0, 0])
-                        both[0] += n
-                        both[1] += 0 if fold else n
-                if len(found) > 400_000:
-                    yield from rows(found)
-                    found = {}
-            yield from rows(found)
-
-        def rows(found):
-            keys, values = list(found), list(found.values())
-            for lo in range(0, len(keys), 1 << 15):
-                k, v = keys[lo:lo + (1 << 15)], values[lo:lo + (1 << 15)]
-                yield pa.record_batch({"lang": [x[0] for x in k], "gram": [x[1] for x in k],
-                                       "n": pa.array([x[0] for x in v], pa.int64()),
-                                       "n_fit": pa.array([x[1] for x in v], pa.int64())})
+            for lang, (every, fit) in held.items():
+                many = list(every)
+                for lo in range(0, len(many), 1 << 16):
+                    part = many[lo:lo + (1 << 16)]
+                    keys, sums = windows_of(part, np.array([(every[w], fit[w]) for w in part], np.int64), order)
+                    yield pa.record_batch({"lang": [lang] * len(keys), "gram": keys, "n": pa.array(sums[0]),
+                                           "n_fit": pa.array(sums[1])})
 
         for b in batches:
             for lang, text, fold in zip(*(c.to_pylist() for c in b.columns)):
-                seen = held.setdefault((lang, fold), Counter())
-                before = len(seen)
-                seen.update(words(text))
-                size += len(seen) - before
+                every, fit = held.setdefault(lang, (Counter(), Counter()))
+                before, own = len(every), words(text)
+                every.update(own)
+                if not fold:
+                    fit.update(own)
+                size += len(every) - before
                 if size > CACHE_WORDS:
                     yield from out()
                     held, size = {}, 0
@@ -221,15 +237,18 @@ class Arrays:
         _, first, inverse = np.unique(chain[-1][at], return_index=True, return_inverse=True)
         pick, out = at[first], np.empty((len(many), len(self.langs)))
         depth = np.minimum(place[pick] + 1, self.order)
-        for k, (gh, gv, ch, cv) in enumerate(self.models):
-            p = np.full(len(pick), self.floor)
-            for n in range(1, self.order + 1):
-                on = np.flatnonzero(depth >= n)
-                below = chain[n - 1][pick[on] - 1] if n > 1 else np.zeros(len(on), np.uint64)
-                p[on] = (self._find(gh, gv, chain[n][pick[on]], 0.0)
-                         + self._find(ch, cv, below, 1.0) * p[on])
+        p = np.full((len(self.langs), len(pick)), self.floor)
+        for n in range(1, self.order + 1):
+            # few distinct keys, in order, serve all models
+            on = np.flatnonzero(depth >= n)
+            keys, key_of = np.unique(chain[n][pick[on]], return_inverse=True)
+            below, below_of = np.unique(chain[n - 1][pick[on] - 1] if n > 1 else np.zeros(len(on), np.uint64),
+                                        return_inverse=True)
+            for k, (gh, gv, ch, cv) in enumerate(self.models):
+                p[k, on] = (self._find(gh, gv, keys, 0.0)[key_of] + self._find(ch, cv, below, 1.0)[below_of] * p[k, on])
+        for k in range(len(self.langs)):
             each = np.zeros(len(flat))
-            each[at] = np.log(p)[inverse]
+            each[at] = np.log(p[k])[inverse]
             out[:, k] = np.add.reduceat(each, starts)
         return out, sizes - 1
 
@@ -250,14 +269,13 @@ def _sums(model: Arrays):
         nonlocal known, scores, symbols
         if len(known) > CACHE_WORDS:
             known, scores, symbols = Numbers(), scores[:0], symbols[:0]
-        numbers, sizes = [], []
+        numbers = []
         for t in texts:
-            own = list(map(known.__getitem__, words(t or "")))
-            numbers.append(np.array(own, np.int64))
-            sizes.append(len(own))
+            own = words(t or "")
+            numbers.append(np.fromiter(map(known.__getitem__, own), np.int64, len(own)))
         done = len(symbols)
         if len(known) > done:
-            new, length = model.word_scores(list(known)[done:])
+            new, length = model.word_scores(list(islice(known, done, None)))
             scores, symbols = np.vstack([scores, new]), np.concatenate([symbols, length])
         total, n = np.zeros((len(texts), len(model.langs))), np.zeros(len(texts), np.int64)
         for i, own in enumerate(numbers):
