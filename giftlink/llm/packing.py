@@ -32,6 +32,7 @@ import re
 import unicodedata
 import zlib
 from collections import deque
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -47,24 +48,24 @@ SENTENCE_PENALTY = 2.0
 HARD_PENALTY = 24.0
 STEP = 64
 BLOCK_WINDOWS = 256
-CACHE_WORDS = 150_000
+CACHE_WORDS = 400_000
 
 # white space as the tokenizer's pattern \s knows it: ASCII, and the rest
 WHITE = re.compile("[\\t-\\r ]")
-SPACES = np.zeros(256, bool)
-SPACES[[9, 10, 11, 12, 13, 32]] = True
 WIDE_SPACES = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 # runs for which the tokenizer's own splitting is restated below
 PLAIN = re.compile("[\n!-~À-ÖØ-öø-ɏ]*")
 PARTS = re.compile("[a-zß-öø-ɏ]+|\n|'s|'t|'re|'ve|'m|'ll|'d|[0-9]|[^\na-z0-9À-ÖØ-öø-ɏ]+")
 STOP = "\U0010ffff"  # ends a run's ids; no id is spelled by it
 SENTENCE = 0x10FFFE  # follows the ids of a run that ends a sentence
-BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # odd
+MARK = b"\xff"  # never a byte of UTF-8
 CHUNK = 1 << 19  # characters split at once
 
 
 def spell(ids) -> str:
     """Ids as a string, one character each (surrogates are left out)."""
+    if not ids or max(ids) < 0xD800:
+        return "".join(map(chr, ids))
     return "".join([chr(i if i < 0xD800 else i + 0x2000) for i in ids])
 
 
@@ -74,15 +75,12 @@ def spelled_ids(text: str):
     return np.where((ids < 0xD800) | (ids == SENTENCE), ids, ids - 0x2000).astype("<u4")
 
 
-class Cache(dict):
-    """A dict that notes, in order, the keys it was asked for and lacks."""
+class Numbers(dict):
+    """Runs of bytes, numbered as they come."""
 
-    def __init__(self):
-        self.lacking = []
-
-    def __missing__(self, key):
-        self.lacking.append(key)
-        return None
+    def __missing__(self, run):
+        self[run] = n = len(self)
+        return n
 
 
 def byte_letters() -> dict:
@@ -93,49 +91,35 @@ def byte_letters() -> dict:
     return {**{b: chr(b) for b in own}, **{b: chr(256 + i) for i, b in enumerate(rest)}}
 
 
-class Powers:
-    """Powers of an odd base and of its inverse modulo 2**64."""
-
-    def __init__(self, base: int):
-        self.base, self.up, self.down = base, np.ones(1, np.uint64), np.ones(1, np.uint64)
-
-    def upto(self, n: int):
-        if len(self.up) < n:
-            for name, x in (("up", self.base), ("down", pow(self.base, -1, 1 << 64))):
-                steps = np.full(max(n, CHUNK + 1), x, np.uint64)
-                steps[0] = 1
-                setattr(self, name, np.multiply.accumulate(steps))
-        return self.up, self.down
-
-
 class Words:
     """Ids of texts by a word-end BPE, one run of non-white-space at a time.
 
     The tokenizer drops white space and never merges over it, so a text's ids
-    are its runs' ids one after another. Runs repeat, so a batch of texts is
-    split and its runs hashed (two 64-bit polynomial hashes) as arrays; only
-    the distinct runs are looked up. Their ids are kept in a two-generation
-    cache of bounded size, as strings with one character for an id, which
-    join fast. New runs of Latin letters, digits and marks are taken apart as
-    the tokenizer does it, all at once, and their new parts go straight to its
-    BPE model; other runs go through the whole tokenizer."""
+    are its runs' ids one after another. Runs repeat: each is numbered by its
+    bytes, and the ids of the numbers so far lie in one array, from which a
+    batch of texts is put together by array operations. Past ``limit`` runs
+    the numbering begins anew. New runs of Latin letters, digits and marks are
+    taken apart as the tokenizer does it, all at once, and their new parts go
+    straight to its BPE model; other runs go through the whole tokenizer."""
 
     def __init__(self, json_bytes: bytes, limit: int = CACHE_WORDS):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(json_bytes.decode("utf-8"))
         self.model, self.letters = self.tokenizer.model, byte_letters()
-        self.limit, self.new, self.old, self.parts = limit, Cache(), {}, {"\n": STOP}
-        self.powers = [Powers(b) for b in BASES]
-
-    def part(self, part: str) -> str:
-        """Ids of one lower-cased letter run, digit or run of marks."""
-        spelled = part if part.isascii() else "".join([self.letters[b] for b in part.encode("utf-8")])
-        ids = spell([t.id for t in self.model.tokenize(spelled)])
-        if len(part) <= 64:
-            if len(self.parts) >= self.limit:
-                self.parts = {"\n": STOP}
-            self.parts[part] = ids
-        return ids
+        self.limit, self.parts = limit, {"\n": STOP}
+        self.clear()
+
+    def clear(self) -> None:
+        self.numbers, self.ids = Numbers(), np.zeros(1 << 16, "<u4")
+        self.begin = np.zeros(1, np.int64)  # where each number's ids begin in ``ids``, and where the last ones end
+        self.numbers[MARK]  # number 0, no ids: between texts
+
+    def learn_parts(self, parts: set) -> None:
+        """Ids of lower-cased letter runs, digits and runs of marks."""
+        tokenize, known = self.model.tokenize, self.parts
+        for part in parts:
+            raw = part if part.isascii() else "".join([self.letters[b] for b in part.encode("utf-8")])
+            known[part] = spell([t.id for t in tokenize(raw)])
 
     def plain(self, text: str) -> str | None:
         """``text`` in lower case, if the restated splitting holds for it."""
@@ -159,62 +143,39 @@ class Words:
                 ids.update(zip(rest, self.learn(rest)))
                 return [ids[r] for r in runs]
             return [spell(self.tokenizer.encode(r, add_special_tokens=False).ids) for r in runs]
-        known, out = self.parts.get, []
-        for p in PARTS.findall(low):
-            ids = known(p)
-            if ids is None:
-                ids = self.part(p)
-                known = self.parts.get
-            out.append(ids)
-        return "".join(out).split(STOP)
+        parts = PARTS.findall(low)
+        if len(self.parts) > self.limit:
+            self.parts = {"\n": STOP}
+        self.learn_parts(set(parts).difference(self.parts))
+        return "".join(map(self.parts.__getitem__, parts)).split(STOP)
+
+    def _note(self) -> None:
+        """Ids of the runs that were numbered since the last time."""
+        known = len(self.begin) - 1
+        new = [r.decode("utf-8", "surrogatepass") for r in islice(self.numbers, max(known, 1), None)]
+        mark = chr(SENTENCE)
+        spelled = [x + mark if r[-1] in ".!?" else x for r, x in zip(new, self.learn(new))] if new else []
+        ids = spelled_ids("".join(spelled))
+        end = int(self.begin[-1])
+        if end + len(ids) > len(self.ids):
+            self.ids = np.concatenate((self.ids[:end], np.zeros(end + 2 * len(ids), "<u4")))
+        self.ids[end:end + len(ids)] = ids
+        sizes = np.fromiter(map(len, spelled), np.int64, len(spelled))
+        self.begin = np.concatenate((self.begin, [end] if not known else [], end + np.cumsum(sizes))).astype(np.int64)
 
     def chunk(self, raw: bytes) -> tuple:
-        """(ids with sentence marks, their number up to each run, run starts)
-        of a buffer of texts."""
-        buf = np.frombuffer(raw, np.uint8)
-        space = np.concatenate(([True], SPACES[buf], [True]))
-        edge = np.flatnonzero(space[1:] != space[:-1])
-        starts, ends = edge[::2], edge[1::2]
-        if not len(starts):
-            return np.zeros(0, "<u4"), np.zeros(1, np.int64), starts
-        wide, hashes = buf.astype(np.uint64) + np.uint64(1), []
-        for powers in self.powers:
-            up, down = powers.upto(len(buf) + 1)
-            prefix = np.zeros(len(buf) + 1, np.uint64)
-            np.cumsum(wide * up[:len(buf)], out=prefix[1:])
-            hashes.append((prefix[ends] - prefix[starts]) * down[starts])
-        first_hash = hashes[0] ^ (hashes[0] >> np.uint64(29))
-        distinct, first, inverse = np.unique(first_hash, return_index=True, return_inverse=True)
-        second = hashes[1][first]
-        if (hashes[1] != second[inverse]).any():  # one hash for two runs: take both together
-            both = np.rec.fromarrays([first_hash, hashes[1]])
-            both, first, inverse = np.unique(both, return_index=True, return_inverse=True)
-            distinct, second = both["f0"], both["f1"]
-        keys = [a << 64 | b for a, b in zip(distinct.tolist(), second.tolist())]
-        ids = list(map(self.new.__getitem__, keys))
-        lacking, self.new.lacking = self.new.lacking, []
-        if lacking:
-            gaps = [i for i, x in enumerate(ids) if x is None]
-            old, unknown = self.old.get, []
-            for i, key in zip(gaps, lacking):
-                ids[i] = old(key)
-                if ids[i] is None:
-                    unknown.append(i)
-            at = first[unknown]
-            runs = [raw[a:b].decode("utf-8", "surrogatepass") for a, b in zip(starts[at].tolist(), ends[at].tolist())]
-            if runs:
-                mark = chr(SENTENCE)
-                for i, r, x in zip(unknown, runs, self.learn(runs)):
-                    ids[i] = x + mark if r[-1] in ".!?" else x
-            if len(self.new) + len(gaps) > self.limit:
-                self.new, self.old = Cache(), self.new
-            self.new.update((keys[i], ids[i]) for i in gaps if len(ids[i]) <= 64)
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat, begin = spelled_ids("".join(ids)), np.cumsum(sizes) - sizes
-        each = sizes[inverse]
-        upto = np.concatenate(([0], np.cumsum(each)))
-        # the ids of each run, run after run
-        return flat[np.repeat(begin[inverse] - upto[:-1], each) + np.arange(upto[-1])], upto, starts
+        """Of a buffer of texts, MARK between them: their ids with sentence
+        marks, and where each text's ids end."""
+        if len(self.numbers) > self.limit:
+            self.clear()
+        runs = raw.split()
+        numbers = np.fromiter(map(self.numbers.__getitem__, runs), np.int64, len(runs))
+        self._note()
+        each = self.begin[numbers + 1] - self.begin[numbers]
+        upto = np.cumsum(each)
+        total = int(upto[-1]) if len(upto) else 0
+        ids = self.ids[np.repeat(self.begin[numbers] - upto + each, each) + np.arange(total)]
+        return ids, np.append(upto[numbers == 0], total)
 
     def documents(self, texts: list):
         """Of each text: ids with the end id as bytes, and the token positions
@@ -237,12 +198,13 @@ class Words:
         yield from self._batch(batch)
 
     def _batch(self, texts: list):
-        raws = [t.encode("utf-8", "surrogatepass") for t in texts]
-        ids, upto, starts = self.chunk(b"\n".join(raws))
-        ends = np.cumsum([len(r) + 1 for r in raws])
-        cuts = upto[np.searchsorted(starts, ends)].tolist()
-        for a, b in zip([0, *cuts], cuts):
-            yield self._done(ids[a:b])
+        if not texts:
+            return
+        ids, ends = self.chunk((b" " + MARK + b" ").join([t.encode("utf-8", "surrogatepass") for t in texts]))
+        at = 0
+        for end in ends.tolist():
+            yield self._done(ids[at:end])
+            at = end
 
     def _long(self, text: str) -> tuple:
         """The same for one long text, cut at white space."""

@@ -135,6 +135,19 @@ def test_runs_give_the_tokenizers_ids():
         assert all(0 <= s < len(ids) // 4 for s in stops)
 
 
+@pytest.mark.parametrize("n", [10, 11])
+def test_words_with_equal_polynomial_hashes_keep_their_own_ids(n):
+    """A Thue-Morse word and its complement hash alike under every odd base
+    modulo 2**64 from 1,024 letters on."""
+    word = "a"
+    for _ in range(n):
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    w = packing.Words(common.file_bytes(common.vocabulary("word_bpe_49k.json")))
+    for (ids, _), t in zip(w.documents([word, other, word + " " + other]), [word, other, word + " " + other]):
+        assert np.frombuffer(ids, "<u4").tolist() == w.tokenizer.encode(t, add_special_tokens=False).ids + [2]
+
+
 def brute_cost(pos, cost, window):
     points, pen = [0, *pos], [0.0, *cost]
     f = [0.0] + [float("inf")] * len(pos)
