@@ -5,35 +5,41 @@ five words, each labelled with how often it has occurred before. A sketch
 takes the ``in_order`` shingles with the smallest hashes and keeps them in
 their order in the text, so it changes when content is moved. ``sketches``
 independent sketches are made per text; texts that agree on one whole sketch
-are candidates. A candidate pair is a link if its five-word shingles are
-similar (multiset Jaccard, ``threshold`` or more) and a banded alignment of
-the word sequences confirms it: with at most a band's worth of insertions and
-deletions, 2 * aligned words / all words is ``threshold`` or more. Classes are
-the connected components of the links.
-
-Pairs with similarity 0.8 agree on one sketch of three shingles with
-probability 0.51, so all of 20 sketches miss such a pair with probability
-under 1e-6.
-
-Scale: exact copies are collapsed to one text first (partial aggregate), and
-a bucket never emits all its pairs unless it has at most ``small`` texts. In
-a larger bucket every text is paired with the bucket's hub, the text that
-shares most buckets with others, so a group of thousands of copies of one
-text costs one pair per copy. Large buckets whose texts are not all in one
-class by then are bucketed again by pairs of sketches, which separates texts
-that merely share a hot passage; there, too, small buckets emit all pairs and
-large ones the hub's, between different classes only. The texts of large
-buckets that hold several classes even then are compared exactly
+are candidates. A candidate pair is a link if a banded alignment of the two
+word sequences reaches ``threshold``: 2 * aligned words / all words. The band
+holds the diagonals that the insertions and deletions still allowed can reach;
+in it the longest common subsequence is found bit by bit, a word of the one
+text against all words of the other at once. Classes are the connected
+components of the links.
+
+Candidate rule and recall: with one word in r replaced at random, two texts
+share about (1 - 1/r)**5 of their shingles. Two-shingle sketches, 20 of them,
+then miss a pair whose alignment is 0.95 with probability under 0.001, and at
+0.9 with 0.02; nearer to 0.8 the sketches see fewer (about four in five at
+0.85). Tests hold the classes against all pairs.
+
+Scale: exact copies are collapsed to one text first (partial aggregate).
+First every text of a bucket is paired with the bucket's hub, the text that
+shares most buckets with others, so a group of copies of one text costs one
+pair per copy, however large. Then buckets that still hold several classes are
+looked at again, between different classes only: up to ``small`` texts by all
+their pairs, larger ones bucketed once more by pairs of sketches, which
+separates texts that merely share a hot passage. The texts of large buckets
+that hold several classes even then are compared without a cap
 (``close_pairs``): with a text's labelled shingles ordered from the rarest on,
-two similar texts share one so early that enough shingles follow in both, so
-pairs of different classes are found by a join on those first shingles. No
-row is capped or sampled.
+two texts with a shingle similarity of ``threshold`` share one so early that
+enough shingles follow in both, so these pairs are found by a join on those
+first shingles. No row is capped or sampled.
+
+Texts are told apart by 128 bits of their SHA-256. Texts that share a bucket
+are fetched and written once and later joins read only those.
 
 Defined results: texts without words (null, empty, white space) are copies of
 each other; texts under five words are one shingle; repeated rows and
 repeated ids each keep their row; a class's id is its smallest document id
 (null only if all are null); an empty table gives no rows; other columns than
-id and text are not read.
+id and text are not read by ``near_duplicates``, and ``deduplicate`` returns
+them as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -49,7 +55,7 @@ from giftlink.llm.tasks import slices, worker_state
 from giftlink.llm.components import components
 
 SHINGLE = 5
-IN_ORDER = 3
+IN_ORDER = 2
 SKETCHES = 20
 THRESHOLD = 0.8
 SMALL = 12
@@ -57,7 +63,7 @@ OFFSETS = (1, 2, 5, 9)  # partners of a sketch in the second bucketing
 CACHE_WORDS = 200_000
 SLOTS = 1 << 18  # counters of shingle frequencies
 CHUNK = 256  # texts of one class in a block of the exact comparison
-SHARES = (64, 16, 4, 1)  # of the exact comparison's pairs, verified in turn
+ALIGN_WORDS = 4096  # words of a text in one row of bits
 
 MULT = np.uint64(0x9E3779B97F4A7C15)
 BASE = np.uint64(0xBF58476D1CE4E5B9)
@@ -129,60 +135,73 @@ def sketch(s, in_order: int = IN_ORDER, n: int = SKETCHES) -> np.ndarray:
     return np.concatenate(out)
 
 
-def shingle_jaccard(a, b) -> float:
-    """Multiset Jaccard similarity of two shingle arrays."""
-    ua, ca = np.unique(a, return_counts=True)
-    ub, cb = np.unique(b, return_counts=True)
-    _, ia, ib = np.intersect1d(ua, ub, assume_unique=True, return_indices=True)
-    both = int(np.minimum(ca[ia], cb[ib]).sum())
-    return both / (len(a) + len(b) - both)
-
-
 def aligned(a, b, threshold: float = THRESHOLD) -> bool:
     """Banded alignment: whether two sequences can be aligned so that
-    2 * matches / (len(a) + len(b)) reaches ``threshold``. The band holds the
-    diagonals that this many insertions and deletions can reach; on each, the
-    furthest matched position is kept (greedy alignment by differences)."""
+    2 * matches / (len(a) + len(b)) reaches ``threshold``.
+
+    The longest common subsequence by bits: a row has a bit for each place of
+    ``a``, cleared where the count grows by one; a word of ``b`` updates the
+    whole row with one addition. Only matches inside the band count; an
+    alignment that reaches the threshold never leaves it. Long sequences take
+    several rows, with the carries of one handed to the next."""
+    total = len(a) + len(b)
+    if not len(a) or not len(b):
+        return total == 0
     same = min(len(a), len(b))
     head = int(np.argmin(np.append(a[:same] == b[:same], False)))
-    a, b, total = a[head:], b[head:], len(a) + len(b)
+    a, b = a[head:], b[head:]
     same = min(len(a), len(b))
     tail = int(np.argmin(np.append(a[::-1][:same] == b[::-1][:same], False)))
     a, b = a[:len(a) - tail].tolist(), b[:len(b) - tail].tolist()
+    need = -int(-(threshold * total / 2 - 1e-9) // 1) - head - tail  # matches still wanted
     n, m = len(a), len(b)
-    band = int((1 - threshold) * total + 1e-9)  # differences allowed
-    if abs(n - m) > band:
+    if need <= 0:
+        return True
+    if min(n, m) < need:
         return False
-    furthest = {1: 0}
-    for d in range(band + 1):
-        for k in range(-d, d + 1, 2):
-            if k == -d or (k != d and furthest.get(k - 1, -1) < furthest.get(k + 1, -1)):
-                x = furthest.get(k + 1, 0)
-            else:
-                x = furthest.get(k - 1, 0) + 1
-            y = x - k
-            if x > n or y > m:
-                furthest[k] = min(x, n)
-                continue
-            while x < n and y < m and a[x] == b[y]:
-                x += 1
-                y += 1
-            furthest[k] = x
-            if x >= n and y >= m:
-                return True
+    band = int((1 - threshold) * total + 1e-9)
+    found, carries = 0, None
+    for lo in range(0, n, ALIGN_WORDS):
+        part = a[lo:lo + ALIGN_WORDS]
+        places = {}
+        for i, w in enumerate(part):
+            places[w] = places.get(w, 0) | 1 << i
+        width, at_most = len(part), n - lo - len(part)
+        full = row = (1 << width) - 1
+        out = bytearray(m) if at_most else None
+        for j, w in enumerate(b):
+            match = row & places.get(w, 0)
+            if match:
+                low, high = j - band - lo, j + band + 1 - lo
+                if low > 0:
+                    match = match >> low << low
+                if high < width:
+                    match &= (1 << max(high, 0)) - 1
+            carry = carries[j] if carries is not None else 0
+            if match or carry:
+                grown = row + match + carry
+                row = (grown | (row ^ match)) & full
+                if out is not None:
+                    out[j] = grown >> width
+            if not j & 255 and carries is None and out is None and width - row.bit_count() + m - j - 1 < need:
+                return False
+        found += width - row.bit_count()
+        if found >= need:
+            return True
+        if found + at_most < need:
+            return False
+        carries = out
     return False
 
 
 def similar(ta: str, tb: str, threshold: float, cache: dict) -> bool:
     a, b = (word_hashes((t or "").lower().split(), cache) for t in (ta, tb))
-    if not len(a) or not len(b):
-        return len(a) == len(b)
-    return shingle_jaccard(shingles(a), shingles(b)) >= threshold and aligned(a, b, threshold)
+    return aligned(a, b, threshold)
 
 
 def text_key(text):
     """128-bit key of a text; null and empty texts share one."""
-    return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
+    return F.substring(F.unhex(F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256)), 1, 16)
 
 
 def _sketched(docs: DataFrame, id_col: str, text_col: str, in_order: int, sketches: int) -> DataFrame:
@@ -204,22 +223,25 @@ def _sketched(docs: DataFrame, id_col: str, text_col: str, in_order: int, sketch
             .mapInArrow(run, common.schema_of(docs, id_col, "th binary, sk array<bigint>")))
 
 
-def _pairs(rows: DataFrame, small: int) -> DataFrame:
-    """Candidate pairs (a, b) of bucket rows (key, th, deg, root): all pairs
-    of buckets up to ``small``, hub pairs of larger ones. Texts that are in
-    one class (``root``) already are not paired."""
-    rows = rows.withColumn("me", F.struct("deg", "th", "root"))
-    stats = rows.groupBy("key").agg(F.count("*").alias("n"), F.max("me").alias("hub"))
-    little = (rows.join(stats.where((F.col("n") > 1) & (F.col("n") <= small)).select("key"), "key", "left_semi")
-              .groupBy("key").agg(F.sort_array(F.collect_list(F.struct("th", "root"))).alias("m")))
-    pairs = (little.select(F.explode(F.flatten(F.transform(
-        "m", lambda x, i: F.transform(F.slice("m", i + 2, small), lambda y: F.struct(x.alias("x"), y.alias("y"))))))
-        .alias("p")).where(F.col("p.x.root") != F.col("p.y.root"))
-        .select(F.col("p.x.th").alias("a"), F.col("p.y.th").alias("b")))
-    star = (rows.join(stats.where(F.col("n") > small).select("key", "hub"), "key")
-            .where((F.col("th") != F.col("hub.th")) & (F.col("root") != F.col("hub.root")))
-            .select(F.least(F.col("th"), F.col("hub.th")).alias("a"), F.greatest(F.col("th"), F.col("hub.th")).alias("b")))
-    return pairs.unionByName(star).distinct()
+def _stars(rows: DataFrame, above: int = 1) -> DataFrame:
+    """Candidate pairs (a, b) of bucket rows (key, th, deg, root): each text
+    of a bucket of more than ``above`` with its hub, unless both are in one
+    class (``root``) already."""
+    hubs = (rows.groupBy("key").agg(F.count("*").alias("n"), F.max(F.struct("deg", "th", "root")).alias("hub"))
+            .where(F.col("n") > above).select("key", "hub"))
+    return (rows.join(hubs, "key").where((F.col("th") != F.col("hub.th")) & (F.col("root") != F.col("hub.root")))
+            .select(F.least(F.col("th"), F.col("hub.th")).alias("a"), F.greatest(F.col("th"), F.col("hub.th")).alias("b"))
+            .distinct())
+
+
+def _all_pairs(rows: DataFrame, small: int) -> DataFrame:
+    """All pairs (a, b) of different classes in buckets of up to ``small``."""
+    little = (rows.groupBy("key").agg(F.count("*").alias("n")).where((F.col("n") > 1) & (F.col("n") <= small)))
+    held = (rows.join(little.select("key"), "key", "left_semi").groupBy("key")
+            .agg(F.sort_array(F.collect_list(F.struct("th", "root"))).alias("m")))
+    one = held.select(F.explode("m").alias("x"), "m")
+    return (one.select("x", F.explode(F.filter("m", lambda y: (y["th"] > F.col("x.th")) & (y["root"] != F.col("x.root"))))
+                       .alias("y")).select(F.col("x.th").alias("a"), F.col("y.th").alias("b")).distinct())
 
 
 def shared_buckets(texts: DataFrame) -> DataFrame:
@@ -231,56 +253,49 @@ def shared_buckets(texts: DataFrame) -> DataFrame:
     return common.written(shared.join(shared.groupBy("th").agg(F.sum("n").alias("deg")), "th"), "degrees")
 
 
-def mixed_texts(shared: DataFrame, classes: DataFrame, small: int) -> DataFrame:
-    """The rows of ``shared`` in large buckets that hold several classes,
-    with each text's class (``root``)."""
-    large = (shared.where(F.col("n") > small).join(classes.withColumnRenamed("v", "th"), "th", "left")
-             .withColumn("root", F.coalesce("root", "th")))
-    mixed = (large.groupBy("t", "s").agg(F.min("root").alias("r1"), F.max("root").alias("r2"))
+def mixed_texts(shared: DataFrame, classes: DataFrame) -> DataFrame:
+    """The rows of ``shared`` in buckets that hold several classes, with each
+    text's class (``root``)."""
+    rooted = (shared.join(classes.withColumnRenamed("v", "th"), "th", "left")
+              .withColumn("root", F.coalesce("root", "th")))
+    mixed = (rooted.groupBy("t", "s").agg(F.min("root").alias("r1"), F.max("root").alias("r2"))
              .where("r1 <> r2").select("t", "s"))
-    return large.join(mixed, ["t", "s"])
+    return rooted.join(mixed, ["t", "s"])
 
 
-def linked(texts: DataFrame, docs: DataFrame, threshold: float, text_col: str, small: int,
+def linked(rows: DataFrame, docs: DataFrame, threshold: float, text_col: str, small: int,
            offsets: tuple = OFFSETS) -> DataFrame:
     """(v, root): classes of the texts (th, sk) that have a link."""
-    shared = shared_buckets(texts)
-    first = shared.select(F.struct("t", "s").alias("key"), "th", "deg", F.col("th").alias("root"))
-    links = common.written(verified(_pairs(first, small), docs, threshold, text_col), "verified")
+    shared = shared_buckets(rows)
+    wanted = shared.select("th").distinct()
+    texts = common.written(
+        docs.select(text_key(F.col(text_col)).alias("th"), F.col(text_col).alias("text"))
+        .join(wanted, "th", "left_semi").groupBy("th").agg(F.first("text").alias("text")), "texts")
+    key = F.struct("t", "s").alias("key")
+    tried = common.written(_stars(shared.select(key, "th", "deg", F.col("th").alias("root"))), "stars")
+    links = common.written(verified(tried, texts, threshold), "verified")
     classes = components(links)
-    open_ = common.written(mixed_texts(shared, classes, small).join(texts, "th").withColumn(
-        "o", F.explode(F.array(*[F.lit(o) for o in offsets]))).select(
+
+    open_ = common.written(mixed_texts(shared, classes), "mixed")
+    again = (open_.where(F.col("n") > small).join(rows, "th")
+             .withColumn("o", F.explode(F.array(*[F.lit(o) for o in offsets]))).select(
         F.struct("t", "s", "o", F.get("sk", (F.col("t") + F.col("o")) % F.size("sk")).alias("s2")).alias("key"),
-        "th", "deg", "root"), "open")
-    if open_.isEmpty():
-        return classes
-    more = common.written(_pairs(open_, small).join(links, ["a", "b"], "left_anti"), "more")
+        "th", "deg", "root"))
+    few = _all_pairs(open_.where(F.col("n") <= small).select(key, "th", "root"), small)
+    more = common.written(few.unionByName(_all_pairs(again, small)).unionByName(_stars(again, small)).distinct()
+                          .join(tried, ["a", "b"], "left_anti"), "more")
     if not more.isEmpty():
-        links = common.written(links.unionByName(verified(more, docs, threshold, text_col)), "verified")
+        links = common.written(links.unionByName(verified(more, texts, threshold)), "verified")
         classes = components(links)
-    # what is still mixed is compared exactly
-    rest = common.written(mixed_texts(shared, classes, small).select("th", "root").distinct(), "rest")
+        open_ = mixed_texts(shared, classes)
+    # what is still mixed in large buckets is compared exactly
+    rest = common.written(open_.where(F.col("n") > small).select("th", "root").distinct(), "rest")
     if rest.isEmpty():
         return classes
-    pairs = common.written(close_pairs(rest, docs, threshold, text_col), "close")
-    n, shares = pairs.count(), SHARES
-    if n <= 4 * rest.count():
-        shares = SHARES[-1:]
-    last = None
-    for share in shares:  # a group of many similar texts is one class after few of its pairs
-        todo = pairs.where(F.pmod(F.xxhash64("a", "b"), F.lit(share)) == 0)
-        if last:
-            todo = todo.where(F.pmod(F.xxhash64("a", "b"), F.lit(last)) != 0)
-        of = classes.withColumnRenamed("root", "r")
-        todo = (todo.join(of.withColumnRenamed("v", "a").withColumnRenamed("r", "ra"), "a", "left")
-                .join(of.withColumnRenamed("v", "b").withColumnRenamed("r", "rb"), "b", "left")
-                .where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b"))
-        found = common.written(verified(common.written(todo, "todo"), docs, threshold, text_col), "found")
-        if not found.isEmpty():
-            links = links.unionByName(found)
-            classes = components(links)
-        last = share
-    return classes
+    pairs = close_pairs(rest, texts, threshold)
+    pairs = common.written(pairs.join(tried, ["a", "b"], "left_anti").join(more, ["a", "b"], "left_anti"), "close")
+    found = common.written(verified(pairs, texts, threshold), "found")
+    return classes if found.isEmpty() else components(links.unionByName(found))
 
 
 def first_shingles(s, counts, threshold: float):
@@ -294,14 +309,12 @@ def first_shingles(s, counts, threshold: float):
     return s[order[at]], at
 
 
-def close_pairs(rest: DataFrame, docs: DataFrame, threshold: float, text_col: str) -> DataFrame:
+def close_pairs(rest: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """All pairs (a, b) of the texts ``rest`` (th, root) in different classes
     that can be similar. In the order by frequency, the first shingle that
     two texts share has all others they share behind it: it is a match only
     if enough shingles follow in both."""
-    texts = (docs.select(text_key(F.col(text_col)).alias("th"), F.col(text_col).alias("text"))
-             .join(rest, "th").dropDuplicates(["th"]))
-    texts = common.written(texts, "texts")
+    texts = common.written(texts.join(rest, "th"), "rest-texts")
 
     def shingled(t, cache):
         w = word_hashes((t or "").lower().split(), cache)
@@ -356,20 +369,14 @@ def close_pairs(rest: DataFrame, docs: DataFrame, threshold: float, text_col: st
     x, y = blocks.alias("x"), blocks.alias("y")
     both = x.join(y, (F.col("x.g") == F.col("y.g")) & (F.col("x.root") < F.col("y.root"))
                   & fits(lambda c: F.col(f"x.{c}"), lambda c: F.col(f"y.{c}")))
-    pairs = both.select(F.explode(F.flatten(F.transform("x.m", lambda p: F.transform(
-        F.filter("y.m", lambda q: fits(p.getField, q.getField)),
-        lambda q: F.struct(F.least(p["th"], q["th"]).alias("a"), F.greatest(p["th"], q["th"]).alias("b"))))))
-        .alias("p"))
-    return pairs.select("p.a", "p.b").distinct()
-
-
-def verified(pairs: DataFrame, docs: DataFrame, threshold: float, text_col: str = "text") -> DataFrame:
-    """The pairs whose texts pass the banded alignment. Texts are fetched by
-    key from ``docs``, one copy each."""
-    wanted = pairs.select(F.col("a").alias("th")).unionByName(pairs.select(F.col("b").alias("th"))).distinct()
-    texts = (docs.select(text_key(F.col(text_col)).alias("th"), F.col(text_col).alias("text"))
-             .join(wanted, "th", "left_semi").dropDuplicates(["th"]))
-    texts = common.written(texts, "texts")
+    # one text of the one block after the other, and only then its partners
+    one = both.select(F.explode("x.m").alias("p"), F.col("y.m").alias("m"))
+    pairs = one.select("p", F.explode(F.filter("m", lambda q: fits(F.col("p").getField, q.getField))).alias("q"))
+    return pairs.select(F.least("p.th", "q.th").alias("a"), F.greatest("p.th", "q.th").alias("b")).distinct()
+
+
+def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (a, b) of ``texts`` (th, text) that pass the banded alignment."""
     both = (pairs.join(texts.select(F.col("th").alias("a"), F.col("text").alias("ta")), "a")
             .join(texts.select(F.col("th").alias("b"), F.col("text").alias("tb")), "b"))
 
@@ -388,8 +395,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(id, class_id, class_rows, th, root) of every row: its class and the
     class's number of rows. ``th`` is the text's key, ``root`` the class's."""
     rows = common.written(_sketched(common.in_small_batches(docs), id_col, text_col, in_order, sketches), "sketches")
-    texts = rows.groupBy("th").agg(F.first("sk").alias("sk"))  # equal texts have equal sketches
-    classes = linked(texts, docs, threshold, text_col, small)
+    sketched = rows.groupBy("th").agg(F.first("sk").alias("sk"))  # equal texts have equal sketches
+    classes = linked(sketched, docs, threshold, text_col, small)
     member = (rows.select(id_col, "th").join(classes.withColumnRenamed("v", "th"), "th", "left")
               .select(id_col, "th", F.coalesce("root", "th").alias("root")))
     ids = member.groupBy("root").agg(F.min(id_col).alias("class_id"), F.count("*").alias("class_rows"))
@@ -404,10 +411,12 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     chosen = (classes.groupBy("root")
               .agg(F.min(F.struct(F.col(id_col).isNull().alias("u"), F.col(id_col).alias("i"), "th")).alias("k"))
               .select(F.col("k.i").alias("_i"), F.col("k.th").alias("_t")))
-    rows = docs.withColumn("_th", text_key(F.col(text_col)))
-    kept = rows.join(chosen, (F.col("_th") == F.col("_t")) & F.col(id_col).eqNullSafe(F.col("_i")), "left_semi")
-    one = W.partitionBy("_th", id_col).orderBy(F.xxhash64(*docs.columns))
-    return (kept.withColumn("_k", F.row_number().over(one)).where(F.col("_k") == 1).select(*docs.columns))
+    # all columns travel as one, so that none can clash
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("i"),
+                       text_key(F.col(text_col)).alias("th"), F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("h"))
+    kept = rows.join(chosen, (F.col("th") == F.col("_t")) & F.col("i").eqNullSafe(F.col("_i")), "left_semi")
+    one = W.partitionBy("th", "i").orderBy("h")
+    return kept.withColumn("k", F.row_number().over(one)).where("k = 1").select("row.*")
 
 
 common.ship(__name__)
