@@ -13,7 +13,9 @@ hash and the stretch of text that its strings cover (its context).
 
 * A gram that occurs once has no repeated string.
 * Contexts that are equal as a whole repeat in all their strings. They are
-  found by an aggregate; copies, however many, never meet in one task.
+  found by an aggregate over a cryptographic 128-bit digest (BLAKE2b) of their
+  bytes, so neither chance nor built collisions of the polynomial hashes make
+  different contexts one; copies, however many, never meet in one task.
 * Different contexts round one gram are what is left to compare: the edges of
   repeated passages. One of each goes to a suffix sort. The suffixes that start
   at the gram, and the reversed texts before it, are merge-sorted; a
@@ -26,22 +28,28 @@ hash and the stretch of text that its strings cover (its context).
 * A gram with more than ``max_contexts`` different contexts is not sorted in
   one task: its strings are counted one by one by a 128-bit hash.
 
-Texts are told apart by a 128-bit key, so equal rows are judged once and
-share the outcome.
+Texts are told apart by 128 bits of their SHA-256, so equal rows are judged
+once and share the outcome. Polynomial hashes only choose anchors and speed up
+comparisons: what they call equal is settled by digests or by bytes.
 
 Defined results: a null text is an empty one; texts shorter than ``length``
 keep all bytes; texts of any length are cut into overlapping chunks, so memory
 is bounded; repeated rows are occurrences of their own, so equal texts of
 ``length`` bytes or more are removed entirely; an empty table gives no rows;
-columns other than those named are not read.
+columns other than those named are not read. ``judged`` returns the kept
+columns as one, so that no name can clash; in ``remove_repeats`` a kept column
+with the name of a result column comes back with underscores added.
 """
 
 from __future__ import annotations
 
+from hashlib import blake2b
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from giftlink.llm import common
 from giftlink.llm.tasks import worker_state
@@ -105,10 +113,10 @@ def sliding_min(x, w: int):
 
 
 def anchors(buf, powers: Powers, length: int = LENGTH, gram: int = GRAM, chunk: int = CHUNK):
-    """(gram hash, context hash, first start, starts, first start to anchor)
-    arrays of a text's bytes: each row is a run of starts that share an
-    anchor."""
-    out = []
+    """(gram hash, context digest in two halves, first start, starts, first
+    start to anchor) arrays of a text's bytes: each row is a run of starts
+    that share an anchor."""
+    out, raw = [], memoryview(buf)
     bits = U((chunk + length).bit_length())
     for at in range(0, len(buf) - length + 1, chunk):
         part = buf[at:at + chunk + length - 1]
@@ -121,8 +129,10 @@ def anchors(buf, powers: Powers, length: int = LENGTH, gram: int = GRAM, chunk:
         first = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))
         starts = np.diff(np.append(first, len(anchor)))
         a = anchor[first]
-        context = mix(h.of(first, starts + length - 1) + mix((a - first).astype(U) << U(32) | starts.astype(U)))
-        out.append((grams[a].view(np.int64), context.view(np.int64), first + at, starts, a - first))
+        digests = b"".join([blake2b(raw[s:e], digest_size=16).digest() for s, e in zip(
+            (first + at).tolist(), (first + at + starts + length - 1).tolist())])
+        halves = np.frombuffer(digests, np.int64).reshape(-1, 2)
+        out.append((grams[a].view(np.int64), halves[:, 0], halves[:, 1], first + at, starts, a - first))
     return [np.concatenate(x) for x in zip(*out)]
 
 
@@ -264,7 +274,7 @@ def runs_of(flags) -> list:
 # ---- the job -------------------------------------------------------------
 
 def text_key(text):
-    return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
+    return F.substring(F.unhex(F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256)), 1, 16)
 
 
 def _anchor_rows(docs: DataFrame, text_col: str, length: int, gram: int, chunk: int) -> DataFrame:
@@ -283,21 +293,21 @@ def _anchor_rows(docs: DataFrame, text_col: str, length: int, gram: int, chunk:
                         keys += [key] * len(got[0])
                         cols.append(got)
                 if cols:
-                    g, c, s, n, o = (np.concatenate(x) for x in zip(*cols))
+                    g, c, d, s, n, o = (np.concatenate(x) for x in zip(*cols))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(keys, pa.binary()), pa.array(g), pa.array(c), pa.array(s, pa.int64()),
+                        [pa.array(keys, pa.binary()), pa.array(g), pa.array(c), pa.array(d), pa.array(s, pa.int64()),
                          pa.array(n.astype(np.int32)), pa.array(o.astype(np.int32))],
-                        names=["th", "g", "c", "s", "n", "o"])
+                        names=["th", "g", "c", "d", "s", "n", "o"])
 
     return (docs.select(text_key(F.col(text_col)).alias("th"), F.col(text_col))
             .where(F.octet_length(text_col) >= length)
-            .mapInArrow(run, "th binary, g long, c long, s long, n int, o int"))
+            .mapInArrow(run, "th binary, g long, c long, d long, s long, n int, o int"))
 
 
 def _contexts(reps: DataFrame, docs: DataFrame, text_col: str, length: int) -> DataFrame:
     """``reps`` with their text, one row per context; every text is read from
     one of its rows."""
-    wanted = reps.groupBy("th").agg(F.collect_list(F.struct("g", "c", "s", "n", "o", "alone")).alias("w"))
+    wanted = reps.groupBy("th").agg(F.collect_list(F.struct("g", "s", "n", "o", "alone")).alias("w"))
     texts = (docs.select(text_key(F.col(text_col)).alias("th"), F.encode(text_col, "UTF-8").alias("b"))
              .join(wanted, "th").dropDuplicates(["th"]))
     return (texts.select("th", "b", F.explode("w").alias("w"))
@@ -347,19 +357,22 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", length: int = LENGTH
     """(th, s, e): spans of bytes covered by repeated strings, by text key.
     Spans may overlap."""
     rows = common.written(_anchor_rows(common.in_small_batches(docs), text_col, length, gram, chunk), "anchors")
-    grams = (rows.groupBy("g").agg(F.count("*").alias("k"), F.min("c").alias("c1"), F.max("c").alias("c2"))
-             .where("k > 1").select("g", (F.col("c1") != F.col("c2")).alias("mixed")))
+    context = ["g", "c", "d", "n", "o"]
+    differ = F.lit(False)
+    for x in context[1:]:
+        differ = differ | (F.min(x) != F.max(x))
+    grams = rows.groupBy("g").agg(F.count("*").alias("k"), differ.alias("mixed")).where("k > 1").select("g", "mixed")
     hits = common.written(rows.join(grams, "g"), "anchor-hits")
     end = F.col("s") + F.col("n") - 1 + length
     equal = hits.where(~F.col("mixed")).select("th", "s", end.alias("e"))
     classes = common.written(
-        hits.where("mixed").groupBy("g", "c", "n", "o")
+        hits.where("mixed").groupBy(*context)
         .agg(F.count("*").alias("k"), F.min(F.struct("th", "s")).alias("rep")), "contexts")
-    copies = (hits.where("mixed").join(classes.where("k > 1").select("g", "c", "n", "o"), ["g", "c", "n", "o"],
-                                       "left_semi").select("th", "s", end.alias("e")))
+    copies = (hits.where("mixed").join(classes.where("k > 1").select(*context), context, "left_semi")
+              .select("th", "s", end.alias("e")))
     per_gram = classes.groupBy("g").agg(F.count("*").alias("kinds"))
     reps = (classes.join(per_gram, "g").where("kinds > 1")
-            .select("g", "c", "n", "o", (F.col("k") == 1).alias("alone"), "rep.th", "rep.s", "kinds"))
+            .select("g", "n", "o", (F.col("k") == 1).alias("alone"), "rep.th", "rep.s", "kinds"))
     contexts = common.written(_contexts(reps.where(F.col("kinds") <= max_contexts), docs, text_col, length), "edges")
     spans = equal.unionAll(copies).unionAll(_sorted_edges(contexts, length, batch_bytes))
     crowded = reps.where(F.col("kinds") > max_contexts)
@@ -368,20 +381,23 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", length: int = LENGTH
     return spans
 
 
-def remove_repeats(docs: DataFrame, text_col: str = "text", keep: list | None = None, **settings) -> DataFrame:
-    """The columns ``keep`` (default: doc_id) of every row, with n_bytes,
-    n_removed, spans (array of [start, end) of the maximal removed runs) and
-    kept (the remaining bytes)."""
+RESULT = ("n_bytes", "n_removed", "spans", "kept")
+
+
+def judged(docs: DataFrame, text_col: str = "text", keep: list | None = None, **settings) -> DataFrame:
+    """Every row: its columns ``keep`` as one (``row``), n_bytes, n_removed,
+    spans (array of [start, end) of the maximal removed runs) and kept (the
+    remaining bytes)."""
     names = keep or ["doc_id"]
     spans = (repeated_spans(docs, text_col, **settings).distinct()
              .groupBy("th").agg(F.sort_array(F.collect_list(F.struct("s", "e"))).alias("w")))
-    rows = docs.select(*names, F.encode(F.coalesce(text_col, F.lit("")), "UTF-8").alias("_b"),
-                       text_key(F.col(text_col)).alias("th")).join(spans, "th", "left")
-    k = len(names)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"),
+                       F.encode(F.coalesce(text_col, F.lit("")), "UTF-8").alias("b"),
+                       text_key(F.col(text_col)).alias("th")).join(spans, "th", "left").select("row", "b", "w")
 
     def cut(batch):
         sizes, removed, runs, kept = [], [], [], []
-        for raw, spans_ in zip(batch.column(k).to_pylist(), batch.column(k + 1).to_pylist()):
+        for raw, spans_ in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
             merged = []
             for x in spans_ or ():
                 if merged and x["s"] <= merged[-1]["e"]:
@@ -400,17 +416,32 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", keep: list | None =
             kept.append(rest)
         span_type = pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))
         return pa.RecordBatch.from_arrays(
-            [*batch.columns[:k], pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()),
-             pa.array(runs, span_type), pa.array(kept, pa.binary())],
-            names=[*names, "n_bytes", "n_removed", "spans", "kept"])
+            [batch.column(0), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()),
+             pa.array(runs, span_type), pa.array(kept, pa.binary())], names=["row", *RESULT])
 
     def run(batches):
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):  # bounds the rows held at once
                 yield cut(batch.slice(lo, 256))
 
-    return rows.select(*names, "_b", "w").mapInArrow(run, common.schema_of(
-        docs, ",".join(names), "n_bytes long, n_removed long, spans array<struct<s: bigint, e: bigint>>, kept binary"))
+    return rows.mapInArrow(run, T.StructType([rows.schema["row"], T.StructField("n_bytes", T.LongType()),
+                                               T.StructField("n_removed", T.LongType()),
+                                               T.StructField("spans", T.ArrayType(T.StructType(
+                                                   [T.StructField(c, T.LongType()) for c in ("s", "e")]))),
+                                               T.StructField("kept", T.BinaryType())]))
+
+
+def remove_repeats(docs: DataFrame, text_col: str = "text", keep: list | None = None, **settings) -> DataFrame:
+    """The columns ``keep`` (default: doc_id) of every row, with the columns
+    of ``judged``."""
+    taken, named = {*(keep or ["doc_id"]), *RESULT}, []  # names that are in use
+    for c in keep or ["doc_id"]:
+        as_ = c
+        while c in RESULT and as_ in taken:
+            as_ += "_"
+        taken.add(as_)
+        named.append(F.col(f"row.`{c}`").alias(as_))
+    return judged(docs, text_col, keep, **settings).select(*named, *RESULT)
 
 
 common.ship(__name__)

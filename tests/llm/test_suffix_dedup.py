@@ -81,6 +81,38 @@ def test_repeated_ids_and_empty_tables(spark):
     assert result(spark, [None, "", "a"])[2].kept == b"a"
 
 
+def test_texts_with_equal_polynomial_hashes_are_kept(spark):
+    """A Thue-Morse word and its complement hash alike under every odd base
+    modulo 2**64, here behind one gram that is the anchor of both."""
+    word = "a"
+    for _ in range(11):
+        word += word.translate(str.maketrans("ab", "ba"))
+    other, powers, rnd = word.translate(str.maketrans("ab", "ba")), S.Powers(), random.Random(1)
+    length, gram = 128 + len(word), 128
+    while True:
+        head = words(rnd, gram, "cdefghijkl")
+        both = [np.frombuffer((head + w).encode(), np.uint8) for w in (word, other)]
+        found = [S.anchors(b, powers, length, gram) for b in both]
+        if all(f[5].tolist() == [0] for f in found):
+            break
+    h = [S.Hashed(b, powers).of(np.array([0]), length) for b in both]
+    assert h[0] == h[1] and found[0][0] == found[1][0]  # the gram and the whole
+    got = result(spark, [head + word, head + other, "x"], length=length, gram=gram)
+    assert [got[i].n_removed for i in range(3)] == [0, 0, 0]
+
+
+def test_kept_columns_of_any_name(spark):
+    names = ["doc_id", "text", "th", "kept", "w", "_b", "n_removed", "spans", "row", "b", "kept_", "a b"]
+    rows = [(i, "x" * 30 if i < 2 else "y", *[f"{c}{i}" for c in names[2:]]) for i in range(3)]
+    df = spark.createDataFrame(rows, ", ".join(f"`{c}` {'long' if c == 'doc_id' else 'string'}" for c in names))
+    out = S.judged(df, keep=names, length=20, gram=5)
+    assert sorted(tuple(r.row) for r in out.collect()) == rows
+    assert sorted(r.n_removed for r in out.collect()) == [0, 30, 30]
+    flat = S.remove_repeats(df, keep=names, length=20, gram=5)
+    assert flat.columns == ["doc_id", "text", "th", "kept__", "w", "_b", "n_removed_", "spans_", "row", "b", "kept_", "a b",
+                            *S.RESULT]
+
+
 def test_order_is_the_suffix_order():
     rnd = random.Random(4)
     powers = S.Powers()
