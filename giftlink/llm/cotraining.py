@@ -3,8 +3,8 @@
 Two logistic models see different sides of a document: ``text`` its words and
 characters, ``meta`` its language, source, length and line layout. Both start
 from the labelled rows. In each round every unlabelled document is scored by
-both; the documents one view is confident about become pseudo-labelled
-training rows of the *other* view. At the end both views are calibrated on
+both; the texts one view is confident about and has not taught yet become
+pseudo-labelled training rows of the *other* view, each text once. At the end both views are calibrated on
 labelled rows that no model was fitted on (Platt scaling), a small logistic
 model combines the two calibrated views, and every document is scored.
 
@@ -34,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from giftlink.llm import common
 from giftlink.llm.tasks import slices
@@ -42,6 +43,7 @@ MAX_LABELLED = 20_000
 PER_ROUND = 500
 ROUNDS = 3
 CONFIDENT = 0.98
+PARTS = 64  # of the confident texts, each of which is ranked by itself first
 KEEP_FROM = 0.5
 LANG_SLOTS, SOURCE_SLOTS = 8, 32
 
@@ -157,29 +159,34 @@ def _matrix(rows, width):
     return np.array(rows, dtype=np.float64).reshape(len(rows), width)
 
 
-def featurize(docs: DataFrame) -> DataFrame:
-    """doc_id, h (a row's place in hash samples), text and meta features."""
-    names = ["doc_id", "h", "text_x", "meta_x"]
+def featurize(docs: DataFrame, keep: list | None = None) -> DataFrame:
+    """Of every row: its columns ``keep`` (default: doc_id) as one (``row``),
+    doc_id, h (its place in hash samples), t (a hash of its text), text and
+    meta features."""
+    names = ["row", "doc_id", "h", "t", "text_x", "meta_x"]
+    rows = common.in_small_batches(docs).select(
+        F.struct(*[F.col(f"`{c}`") for c in keep or ["doc_id"]]).alias("row"), "doc_id",
+        F.xxhash64("doc_id", "text").alias("h"), F.xxhash64("text").alias("t"), "text", "lang", "source",
+        F.col("n_chars").cast("long").alias("n_chars"))
 
     def run(batches):
         for b in slices(batches):
-            texts = [t or "" for t in b.column(2).to_pylist()]
-            xt = [np.array(text_features(t), np.float32) for t in texts]
-            xm = [np.array(meta_features(t, *m), np.float32)
-                  for t, *m in zip(texts, b.column(3).to_pylist(), b.column(4).to_pylist(), b.column(5).to_pylist())]
+            texts = [x or "" for x in b.column(4).to_pylist()]
+            xt = [np.array(text_features(x), np.float32) for x in texts]
+            xm = [np.array(meta_features(x, *m), np.float32)
+                  for x, *m in zip(texts, *(b.column(i).to_pylist() for i in (5, 6, 7)))]
             arr = pa.list_(pa.float32())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(xt, arr), pa.array(xm, arr)],
-                                             names=names)
+            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(xt, arr), pa.array(xm, arr)], names=names)
 
-    return (common.in_small_batches(docs).select("doc_id", F.xxhash64("doc_id", "text").alias("h"), "text", "lang", "source",
-                        F.col("n_chars").cast("long"))
-            .mapInArrow(run, common.schema_of(docs, "doc_id", "h long, text_x array<float>, meta_x array<float>")))
+    floats = T.ArrayType(T.FloatType())
+    return rows.mapInArrow(run, T.StructType([*(rows.schema[c] for c in names[:4]), T.StructField("text_x", floats),
+                                              T.StructField("meta_x", floats)]))
 
 
-def _score_features(rows: DataFrame, model, keep: str) -> DataFrame:
+def score_features(rows: DataFrame, model, keep: list) -> DataFrame:
     """The columns ``keep`` of a feature table, with p_text, p_meta and
     p_quality. The models are small arrays that travel with the task."""
-    names = keep.split(",")
+    views = ("p_text", "p_meta", "p_quality")
 
     def run(batches):
         for b in slices(batches):
@@ -188,12 +195,11 @@ def _score_features(rows: DataFrame, model, keep: str) -> DataFrame:
             xm = b.column(b.schema.get_field_index("meta_x")).flatten().to_numpy(zero_copy_only=False)
             p = model.probabilities(xt.reshape(n, N_TEXT), xm.reshape(n, N_META)) if n else ([], [], [])
             yield pa.RecordBatch.from_arrays(
-                [*[b.column(b.schema.get_field_index(c)) for c in names], *[pa.array(x, pa.float64()) for x in p]],
-                names=[*names, "p_text", "p_meta", "p_quality"])
+                [*[b.column(b.schema.get_field_index(c)) for c in keep], *[pa.array(x, pa.float64()) for x in p]],
+                names=[*keep, *views])
 
-    cols = list(dict.fromkeys([*names, "text_x", "meta_x"]))
-    return rows.select(*cols).mapInArrow(
-        run, common.schema_of(rows, keep, "p_text double, p_meta double, p_quality double"))
+    return rows.select(*keep, "text_x", "meta_x").mapInArrow(
+        run, T.StructType([*(rows.schema[c] for c in keep), *(T.StructField(v, T.DoubleType()) for v in views)]))
 
 
 def _labels(labels: DataFrame) -> DataFrame:
@@ -204,8 +210,8 @@ def _labels(labels: DataFrame) -> DataFrame:
 def fit(features: DataFrame, labels: DataFrame, rounds: int = ROUNDS, per_round: int = PER_ROUND,
         max_labelled: int = MAX_LABELLED, confident: float = CONFIDENT):
     """The combined model. ``features`` is a written table: it is read once
-    for the labelled rows and once per round."""
-    y = _labels(labels)
+    for the labelled rows and twice per round."""
+    y, spark = _labels(labels), features.sparkSession
     seed = (features.join(y, "doc_id").select("h", "text_x", "meta_x", "y")
             .orderBy("h", "y").limit(max_labelled).toArrow().to_pydict())
     ys = np.array(seed["y"], np.float64)
@@ -220,61 +226,52 @@ def fit(features: DataFrame, labels: DataFrame, rounds: int = ROUNDS, per_round:
     train = {"text": [xt[fitted], ys[fitted]], "meta": [xm[fitted], ys[fitted]]}
     unlabelled = features.join(y, "doc_id", "left_anti")
     model = TwoViews(train["text"], train["meta"], calibration)
-    taught = {"text": set(), "meta": set()}
+    taught = []  # (teacher, t): bounded by the rounds
     for _ in range(rounds):
-        scored = _score_features(unlabelled, model, "h,text_x,meta_x")
+        scored = score_features(unlabelled, model, ["h", "t"])
         # a view's confident documents, as (teacher, label, confidence)
-        votes = F.array(*[F.struct(F.lit(t).alias("teacher"), F.lit(v).alias("y"), c.alias("sure"))
-                          for t, p in (("text", F.col("p_text")), ("meta", F.col("p_meta")))
+        votes = F.array(*[F.struct(F.lit(n).alias("teacher"), F.lit(v).alias("y"), c.alias("sure"))
+                          for n, p in (("text", F.col("p_text")), ("meta", F.col("p_meta")))
                           for v, c in ((1, p), (0, 1 - p))])
-        picked = (scored.withColumn("vote", F.explode(F.filter(votes, lambda x: x["sure"] >= confident)))
-                  .select("h", "text_x", "meta_x", "vote.*")
-                  .withColumn("k", F.row_number().over(W.partitionBy("teacher", "y")
-                                                       .orderBy(F.desc("sure"), "h")))
-                  .where(F.col("k") <= per_round).toArrow().to_pydict())
-        learned = 0
+        sure = (scored.withColumn("vote", F.explode(F.filter(votes, lambda x: x["sure"] >= confident)))
+                .select("h", "t", "vote.*"))
+        if taught:
+            sure = sure.join(spark.createDataFrame(taught, "teacher string, t long"), ["teacher", "t"], "left_anti")
+        # texts that were not taught yet, once each; the best of every part of them, then the best of all
+        fresh = sure.groupBy("teacher", "y", "t").agg(F.min(F.struct((-F.col("sure")).alias("doubt"), "h")).alias("m"))
+        first = W.orderBy("m.doubt", "m.h")
+        fresh = (fresh.withColumn("part", F.pmod("t", F.lit(PARTS)))
+                 .withColumn("k", F.row_number().over(first.partitionBy("teacher", "y", "part")))
+                 .where(F.col("k") <= per_round)
+                 .withColumn("k", F.row_number().over(first.partitionBy("teacher", "y"))).where(F.col("k") <= per_round))
+        picked = (fresh.select("teacher", "y", "k", F.col("m.h").alias("h")).join(unlabelled, "h")
+                  .select("teacher", "y", "k", "t", "text_x", "meta_x").dropDuplicates(["teacher", "y", "t"])
+                  .orderBy("teacher", "y", "k").toArrow().to_pydict())
+        if not picked["t"]:
+            break
+        taught += list(zip(picked["teacher"], picked["t"]))
         for teacher, pupil, xs, width in (("text", "meta", "meta_x", N_META), ("meta", "text", "text_x", N_TEXT)):
-            new = [i for i, t in enumerate(picked["teacher"])
-                   if t == teacher and picked["h"][i] not in taught[pupil]]
-            taught[pupil].update(picked["h"][i] for i in new)
+            new = [i for i, n in enumerate(picked["teacher"]) if n == teacher]
             if new:
-                learned += len(new)
                 x, v = train[pupil]
                 train[pupil] = [np.vstack([x, _matrix([picked[xs][i] for i in new], width)]),
                                 np.concatenate([v, np.array([picked["y"][i] for i in new], np.float64)])]
-        if not learned:
-            break
         model = TwoViews(train["text"], train["meta"], calibration)
     return model
 
 
-def score(docs: DataFrame, model, keep_columns: list | None = None) -> DataFrame:
-    """Every row of ``docs`` with p_text, p_meta and p_quality. The columns
-    ``keep_columns`` (default: doc_id) come back as they are."""
-    names = keep_columns or ["doc_id"]
-    need = common.in_small_batches(docs).select(*names, F.col("text").alias("_text"), F.col("lang").alias("_lang"),
-                       F.col("source").alias("_source"), F.col("n_chars").cast("long").alias("_n_chars"))
-    k = len(names)
-
-    def run(batches):
-        for b in slices(batches):
-            texts = [t or "" for t in b.column(k).to_pylist()]
-            xt = _matrix([text_features(t) for t in texts], N_TEXT)
-            xm = _matrix([meta_features(t, *m) for t, *m in
-                          zip(texts, *[b.column(k + i).to_pylist() for i in (1, 2, 3)])], N_META)
-            p = model.probabilities(xt.astype(np.float32), xm.astype(np.float32)) if texts else ([], [], [])
-            yield pa.RecordBatch.from_arrays([*b.columns[:k], *[pa.array(x, pa.float64()) for x in p]],
-                                             names=[*names, "p_text", "p_meta", "p_quality"])
-
-    return need.mapInArrow(run, common.schema_of(docs, ",".join(names),
-                                                 "p_text double, p_meta double, p_quality double"))
+def scored_rows(docs: DataFrame, labels: DataFrame, keep: list | None = None, **settings) -> DataFrame:
+    """Every row: its columns ``keep`` (default: doc_id) as one (``row``), so
+    that no name can clash, with p_text, p_meta and p_quality. Features are
+    computed once and written."""
+    features = common.written(featurize(docs, keep), "features")
+    return score_features(features, fit(features, labels, **settings), ["row"])
 
 
 def classify(docs: DataFrame, labels: DataFrame, keep_from: float = KEEP_FROM, **settings) -> DataFrame:
     """(doc_id, p_text, p_meta, p_quality, keep) of every row."""
-    features = common.written(featurize(docs), "features")
-    scored = _score_features(features, fit(features, labels, **settings), "doc_id")
-    return scored.withColumn("keep", F.col("p_quality") >= keep_from)
+    scored = scored_rows(docs, labels, **settings)
+    return scored.select("row.doc_id", "p_text", "p_meta", "p_quality", (F.col("p_quality") >= keep_from).alias("keep"))
 
 
 common.ship(__name__)
