@@ -231,4 +231,7 @@ select n.record_id, round(b.match_probability, {R6}) as match_probability, round
        b.constituent_r as constituent, b.record_id_r as matched_record_id
 from recs n left join best b on b.pool_id = lower(n.name) and b.rn = 1
 where n.side = 'new'""", ("pairs", "lam", "u", "tf", "scored"), LATEST_ANCHORS)
+    q["q34_pool_order"] = with_linkage("""
+select pool_id, record_id,
+       row_number() over (partition by pool_id order by book_date desc nulls last, record_id) - 1 as row_no from pm""", ())
     return q

@@ -32,8 +32,8 @@ def q21_pool_sizes(spark, sf_dir):
             .groupBy("pool_id", "via").agg(F.count(F.lit(1)).alias("n")))
 
 
-def _linkage(spark, sf_dir, settings=None) -> Linkage:
-    return Linkage.build(views.people(spark, sf_dir), settings or LinkageSettings())
+def _linkage(spark, sf_dir, settings=None, collapse: bool = False) -> Linkage:
+    return Linkage.build(views.people(spark, sf_dir), settings or LinkageSettings(), collapse=collapse)
 
 
 def q22_comparison_vectors(spark, sf_dir):
@@ -53,7 +53,7 @@ def q24_pool_anchor(spark, sf_dir):
 
 def q25_lambda(spark, sf_dir):
     lk = _linkage(spark, sf_dir)
-    return params.estimate_lambda(lk.members, lk.settings).select(
+    return params.estimate_lambda(lk.members, lk.settings, lk.cube()).select(
         "pool_id", "n", "pairs", "hit_pairs", F.round("lam", 9).alias("lam"))
 
 
@@ -77,7 +77,7 @@ def q27_scores(spark, sf_dir):
 
 
 def q28_best_match(spark, sf_dir):
-    b = _linkage(spark, sf_dir).best()
+    b = _linkage(spark, sf_dir, collapse=True).best()
     return b.select("record_id", F.round("match_probability", R6).alias("match_probability"),
                     F.round("match_weight", R6).alias("match_weight"), "constituent", "matched_record_id")
 
@@ -89,6 +89,11 @@ def q31_latest_anchor(spark, sf_dir):
                     F.round("match_weight", R6).alias("match_weight"), "constituent", "matched_record_id")
 
 
+def q34_pool_order(spark, sf_dir):
+    return candidates.pool_order(_linkage(spark, sf_dir).members).select("pool_id", "record_id", "row_no")
+
+
 QUERIES = {f.__name__: f for f in (
     q19_candidates, q20_containment_pools, q21_pool_sizes, q22_comparison_vectors, q23_global_blocking,
-    q24_pool_anchor, q25_lambda, q26_u_tf, q27_scores, q28_best_match, q31_latest_anchor)}
+    q24_pool_anchor, q25_lambda, q26_u_tf, q27_scores, q28_best_match, q31_latest_anchor,
+    q34_pool_order)}
