@@ -107,6 +107,7 @@ class Words:
         self.tokenizer = Tokenizer.from_str(json_bytes.decode("utf-8"))
         self.model, self.letters = self.tokenizer.model, byte_letters()
         self.limit, self.parts = limit, {"\n": STOP}
+        self.spelled = [spell([i]) for i in range(self.tokenizer.get_vocab_size())]
         self.clear()
 
     def clear(self) -> None:
@@ -116,10 +117,11 @@ class Words:
 
     def learn_parts(self, parts: set) -> None:
         """Ids of lower-cased letter runs, digits and runs of marks."""
-        tokenize, known = self.model.tokenize, self.parts
+        tokenize, known, spelled = self.model.tokenize, self.parts, self.spelled
         for part in parts:
             raw = part if part.isascii() else "".join([self.letters[b] for b in part.encode("utf-8")])
-            known[part] = spell([t.id for t in tokenize(raw)])
+            ids = tokenize(raw)
+            known[part] = spelled[ids[0].id] if len(ids) == 1 else "".join([spelled[t.id] for t in ids])
 
     def plain(self, text: str) -> str | None:
         """``text`` in lower case, if the restated splitting holds for it."""
@@ -132,17 +134,16 @@ class Words:
         low = text.lower()
         return low if PLAIN.fullmatch(low) else None
 
-    def learn(self, runs: list) -> list:
-        """Ids of runs that are not in the cache."""
-        low = self.plain("\n".join(runs))
+    def learn(self, text: str) -> list:
+        """Ids of new runs, one a line."""
+        low = self.plain(text)
         if low is None:
+            runs = text.split("\n")
             odd = [r for r in runs if self.plain(r) is None] if len(runs) > 1 else runs
-            if len(odd) < len(runs):
-                ids = {r: spell(self.tokenizer.encode(r, add_special_tokens=False).ids) for r in odd}
-                rest = [r for r in runs if r not in ids]
-                ids.update(zip(rest, self.learn(rest)))
-                return [ids[r] for r in runs]
-            return [spell(self.tokenizer.encode(r, add_special_tokens=False).ids) for r in runs]
+            ids = {r: spell(self.tokenizer.encode(r, add_special_tokens=False).ids) for r in odd}
+            rest = [r for r in runs if r not in ids]
+            ids.update(zip(rest, self.learn("\n".join(rest)) if rest else []))
+            return [ids[r] for r in runs]
         parts = PARTS.findall(low)
         if len(self.parts) > self.limit:
             self.parts = {"\n": STOP}
@@ -152,9 +153,9 @@ class Words:
     def _note(self) -> None:
         """Ids of the runs that were numbered since the last time."""
         known = len(self.begin) - 1
-        new = [r.decode("utf-8", "surrogatepass") for r in islice(self.numbers, max(known, 1), None)]
-        mark = chr(SENTENCE)
-        spelled = [x + mark if r[-1] in ".!?" else x for r, x in zip(new, self.learn(new))] if new else []
+        new, mark = list(islice(self.numbers, max(known, 1), None)), chr(SENTENCE)
+        spelled = self.learn(b"\n".join(new).decode("utf-8", "surrogatepass")) if new else []
+        spelled = [x + mark if r[-1] in b".!?" else x for r, x in zip(new, spelled)]
         ids = spelled_ids("".join(spelled))
         end = int(self.begin[-1])
         if end + len(ids) > len(self.ids):
