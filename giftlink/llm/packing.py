@@ -36,6 +36,7 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
@@ -58,8 +59,7 @@ PLAIN = re.compile("[\n!-~À-ÖØ-öø-ɏ]*")
 PARTS = re.compile("[a-zß-öø-ɏ]+|\n|'s|'t|'re|'ve|'m|'ll|'d|[0-9]|[^\na-z0-9À-ÖØ-öø-ɏ]+")
 STOP = "\U0010ffff"  # ends a run's ids; no id is spelled by it
 SENTENCE = 0x10FFFE  # follows the ids of a run that ends a sentence
-MARK = b"\xff"  # never a byte of UTF-8
-CHUNK = 1 << 19  # characters split at once
+CHUNK = 1 << 20  # characters split at once
 
 
 def spell(ids) -> str:
@@ -95,8 +95,8 @@ class Words:
     """Ids of texts by a word-end BPE, one run of non-white-space at a time.
 
     The tokenizer drops white space and never merges over it, so a text's ids
-    are its runs' ids one after another. Runs repeat: each is numbered by its
-    bytes, and the ids of the numbers so far lie in one array, from which a
+    are its runs' ids one after another. Runs repeat: each that is new to a batch
+    is numbered by its bytes, and the ids of the numbers so far lie in one array, from which a
     batch of texts is put together by array operations. Past ``limit`` runs
     the numbering begins anew. New runs of Latin letters, digits and marks are
     taken apart as the tokenizer does it, all at once, and their new parts go
@@ -113,7 +113,7 @@ class Words:
     def clear(self) -> None:
         self.numbers, self.ids = Numbers(), np.zeros(1 << 16, "<u4")
         self.begin = np.zeros(1, np.int64)  # where each number's ids begin in ``ids``, and where the last ones end
-        self.numbers[MARK]  # number 0, no ids: between texts
+        self.numbers[b""]  # number 0, no ids: beside white space at a text's edges
 
     def learn_parts(self, parts: set) -> None:
         """Ids of lower-cased letter runs, digits and runs of marks."""
@@ -164,19 +164,21 @@ class Words:
         sizes = np.fromiter(map(len, spelled), np.int64, len(spelled))
         self.begin = np.concatenate((self.begin, [end] if not known else [], end + np.cumsum(sizes))).astype(np.int64)
 
-    def chunk(self, raw: bytes) -> tuple:
-        """Of a buffer of texts, MARK between them: their ids with sentence
-        marks, and where each text's ids end."""
+    def chunk(self, raws: list) -> tuple:
+        """Of texts as UTF-8: their ids with sentence marks, and where each
+        text's ids end."""
         if len(self.numbers) > self.limit:
             self.clear()
-        runs = raw.split()
-        numbers = np.fromiter(map(self.numbers.__getitem__, runs), np.int64, len(runs))
+        lists = pc.ascii_split_whitespace(pa.array(raws, pa.binary()).view(pa.string()))
+        runs = lists.flatten().dictionary_encode()
+        distinct = runs.dictionary.view(pa.binary()).to_pylist()
+        numbers = np.fromiter(map(self.numbers.__getitem__, distinct), np.int64, len(distinct))
         self._note()
+        numbers = numbers[runs.indices.to_numpy()]
         each = self.begin[numbers + 1] - self.begin[numbers]
-        upto = np.cumsum(each)
-        total = int(upto[-1]) if len(upto) else 0
-        ids = self.ids[np.repeat(self.begin[numbers] - upto + each, each) + np.arange(total)]
-        return ids, np.append(upto[numbers == 0], total)
+        upto = np.concatenate(([0], np.cumsum(each)))
+        ids = self.ids[np.repeat(self.begin[numbers] - upto[:-1], each) + np.arange(upto[-1])]
+        return ids, upto[lists.offsets.to_numpy()[1:]]
 
     def documents(self, texts: list):
         """Of each text: ids with the end id as bytes, and the token positions
@@ -201,7 +203,7 @@ class Words:
     def _batch(self, texts: list):
         if not texts:
             return
-        ids, ends = self.chunk((b" " + MARK + b" ").join([t.encode("utf-8", "surrogatepass") for t in texts]))
+        ids, ends = self.chunk([t.encode("utf-8", "surrogatepass") for t in texts])
         at = 0
         for end in ends.tolist():
             yield self._done(ids[at:end])
@@ -213,7 +215,7 @@ class Words:
         while at < len(text):
             cut = WHITE.search(text, at + CHUNK)
             stop = cut.end() if cut else len(text)
-            out.append(self.chunk(text[at:stop].encode("utf-8", "surrogatepass"))[0])
+            out.append(self.chunk([text[at:stop].encode("utf-8", "surrogatepass")])[0])
             at = stop
         return self._done(np.concatenate(out))
 
