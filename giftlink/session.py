@@ -73,17 +73,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or d
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` as parquet under the checkpoint folder and read it back.
 
     Cuts the lineage of a table that several later stages reuse (pool
     membership is read by the λ, u, TF and pair stages) and gives AQE real
-    file statistics for the next joins.
+    file statistics for the next joins. ``partition_by``: one folder for each
+    value of that column, for readers that want one of them.
     """
     spark = df.sparkSession
     base = checkpoint_dir(spark)
     path = os.path.join(base, f"{name}-{uuid.uuid4().hex}")
-    df.write.mode("overwrite").parquet(path)
+    writer = df.write.mode("overwrite")
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
     _WRITTEN.append(path)
     return spark.read.parquet(path)
 

@@ -59,8 +59,8 @@ def _by_header(spark: SparkSession, path) -> list:
     return list(groups.items())
 
 
-def read_feed(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """A1: delimited export with a header row, UTF-8."""
+def read_feed(spark: SparkSession, path, schema: StructType) -> DataFrame:
+    """A1: delimited export with a header row, UTF-8; a path or several."""
     out = None
     for head, files in _by_header(spark, path):
         part = (spark.read.schema(_text_schema(head))
@@ -78,7 +78,7 @@ def read_feed(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return out
 
 
-def read_report(spark: SparkSession, path: str, schema: StructType, skip_head: int,
+def read_report(spark: SparkSession, path, schema: StructType, skip_head: int,
                 skip_foot: int) -> DataFrame:
     """A2: export with ``skip_head`` preamble lines before the header and
     ``skip_foot`` trailer lines.
@@ -138,6 +138,24 @@ def read_period(spark: SparkSession, root: str, feed: str, period: dt.date, sche
     return read_feed(spark, path, schema)
 
 
+def read_months(spark: SparkSession, root: str, feed: str, months: list, schema: StructType,
+                layout: str = "folders", skip_head: int = 0, skip_foot: int = 0) -> DataFrame:
+    """A3 for a backfill: one feed's exports of several months in one scan,
+    each row with the month its file belongs to (``_period``, the first day).
+    Only the folders of these months are listed; a month is found in the
+    file's path, so exports need not carry it."""
+    if layout == "partitioned":
+        paths = [f"{root}/feed={feed}/period={m:%Y-%m}" for m in months]
+        text, fmt = F.regexp_extract("_path", r"/period=(\d{4}-\d{2})/", 1), "yyyy-MM"
+    else:
+        paths = [f"{root}/{feed}/{period_folder(m)}" for m in months]
+        text, fmt = F.element_at(F.split("_path", "/"), -2), "MMMM yyyy"
+    df = (read_report(spark, paths, schema, skip_head, skip_foot) if skip_head or skip_foot
+          else read_feed(spark, paths, schema))
+    path = F.url_decode(F.replace("source_file", F.lit("+"), F.lit("%2B")))
+    return df.withColumn("_path", path).withColumn("_period", F.to_date(text, fmt)).drop("_path")
+
+
 def read_weekly(spark: SparkSession, folder: str, schema: StructType, fmt: str = "csv") -> DataFrame:
     """A4: every weekly file of the folder as one table, with its source
     file for lineage."""

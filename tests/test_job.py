@@ -75,3 +75,44 @@ def test_run_with_crm_indexes_equals_without(spark, tmp_path):
                                                     "donor_flagger").collect())
 
     assert go(idx) == go(None)
+
+
+def test_three_months_in_one_run_equal_three_runs(spark, tmpdir_path):
+    import datetime as dt
+    import os
+
+    from giftlink.operators import project
+    from giftlink.plans import pipeline
+    from giftlink.sources import readers, schemas
+    months = [dt.date(2024, 1, 1), dt.date(2024, 2, 1), dt.date(2024, 3, 1)]
+    karma = ",".join(f.name for f in schemas.KARMA.fields)
+    trust = ",".join(f.name for f in schemas.UK_TRUST.fields)
+    for i, m in enumerate([*months, dt.date(2024, 4, 1)]):
+        for feed, head, rows in (
+                ("karma", karma, [f"{m:%Y-%m}-0{k + 1},{10 + k}.5,Site,{'Payroll Giving' if k % 2 else 'Other'},Monthly,Customer,"
+                                  f"{k + 1:09d},Customer.{k + 1:09d}@Example.org,nsw,1 St,Town,800,K{i}-{k}" for k in range(5)]
+                 + [f"2024-{m.month + 1:02d}-0{m.month},1.0,S,Other,M,A,B,e@x,nsw,1 St,Town,800,K{i}-f"]),
+                ("uk_trust", trust, [",".join("5" if f.name.startswith("Total") else f"{f.name[:3]}{i}" for f in schemas.UK_TRUST.fields)])):
+            path = os.path.join(tmpdir_path, feed, readers.period_folder(m), "x.csv")
+            os.makedirs(os.path.dirname(path))
+            with open(path, "w") as f:
+                f.write("\n".join([head, *rows]) + "\n")
+    schema = {"karma": schemas.KARMA, "uk_trust": schemas.UK_TRUST}
+    rest = (queries_job.codes(spark, SF0001), queries_job.schedules(spark, SF0001), queries_job.crm_transactions(spark, SF0001),
+            queries_job.accounts(spark, SF0001))
+    scan = {k: readers.read_months(spark, tmpdir_path, k, months, v) for k, v in schema.items()}
+    assert {r[0] for r in scan["karma"].select("_period").distinct().collect()} == set(months)
+    assert not any("April" in f for f in scan["karma"].inputFiles())
+    once = pipeline.run_months(scan, *rest, months)
+    each = None
+    for m in months:
+        one = pipeline.run({k: readers.read_period(spark, tmpdir_path, k, m, v) for k, v in schema.items()}, *rest,
+                           (m.replace(day=28) + dt.timedelta(days=4)).replace(day=1) - dt.timedelta(days=1))
+        one = one.withColumn("period", F.lit(m))
+        each = one if each is None else project.union_feeds(each, one)
+    cols = sorted(each.columns)
+    assert sorted(once.columns) == cols
+    got, want = (sorted(map(tuple, df.select(*[f"`{c}`" for c in cols]).collect()), key=str) for df in (once, each))
+    assert got == want and len(got) == 21
+    assert {r["Data Entry Reference"][-17:] for r in once.collect()} == {"20240101_20240131", "20240201_20240229",
+                                                                         "20240301_20240331"}
