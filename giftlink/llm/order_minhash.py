@@ -61,7 +61,7 @@ THRESHOLD = 0.8
 SMALL = 12
 OFFSETS = (1, 2, 5, 9)  # partners of a sketch in the second bucketing
 CACHE_WORDS = 200_000
-SLOTS = 1 << 18  # counters of shingle frequencies
+SLOTS = 1 << 22  # counters of shingle frequencies, a byte each
 CHUNK = 256  # texts of one class in a block of the exact comparison
 ALIGN_WORDS = 4096  # words of a text in one row of bits
 
@@ -333,8 +333,8 @@ def close_pairs(rest: DataFrame, texts: DataFrame, threshold: float) -> DataFram
 
     frequency = (texts.select("text").mapInArrow(count, "slot bigint, n bigint")
                  .groupBy("slot").agg(F.sum("n").alias("n")).toArrow())  # at most SLOTS rows
-    counts = np.zeros(SLOTS, np.int64)
-    counts[frequency["slot"].to_numpy()] = frequency["n"].to_numpy()
+    counts = np.zeros(SLOTS, np.uint8)  # any order serves; frequent ones need no telling apart
+    counts[frequency["slot"].to_numpy()] = np.minimum(frequency["n"].to_numpy(), 255)
 
     def first(batches):
         cache = worker_state("order_minhash", dict)
