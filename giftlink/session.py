@@ -87,16 +87,30 @@ def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> Da
     writer = df.write.mode("overwrite")
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
     _WRITTEN.append(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out._materialized_at = path
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> bool:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True))
+
+
+def drop_table(df: DataFrame) -> None:
+    """Delete a table that ``materialize`` returned, once everything made from
+    it has been written itself."""
+    path = getattr(df, "_materialized_at")
+    if path in _WRITTEN:
+        _WRITTEN.remove(path)
+        _delete(df.sparkSession, path)
 
 
 def drop_materialized(spark: SparkSession) -> int:
     """Delete the tables that ``materialize`` has written in this process.
     Call it when a job's results are stored: plans that still read them fail
     afterwards. Returns how many were deleted."""
-    jvm, n = spark.sparkContext._jvm, 0
+    n = 0
     while _WRITTEN:
-        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
-        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        n += bool(fs.delete(path, True))
+        n += _delete(spark, _WRITTEN.pop())
     return n
