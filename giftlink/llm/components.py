@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from giftlink.llm import common
+from giftlink.session import drop_table
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -24,14 +25,17 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     labels = common.written(both.groupBy("v").agg(F.min("w").alias("m"))
                             .select("v", F.least("v", "m").alias("root")), "labels")
     while True:
-        near = (both.join(labels.withColumnRenamed("v", "w"), "w")
+        now = labels.select("v", "root")
+        near = (both.join(now.withColumnRenamed("v", "w"), "w")
                 .groupBy("v").agg(F.min("root").alias("m")))
-        stepped = labels.join(near, "v").select("v", "root", F.least("root", "m").alias("next"))
-        jump = labels.select(F.col("v").alias("next"), F.col("root").alias("beyond"))
+        stepped = now.join(near, "v").select("v", "root", F.least("root", "m").alias("next"))
+        jump = now.select(F.col("v").alias("next"), F.col("root").alias("beyond"))
         new = common.written(
             stepped.join(jump, "next")
             .select("v", F.least("next", "beyond").alias("root"), (F.least("next", "beyond") < F.col("root"))
                     .alias("moved")), "labels")
+        drop_table(labels)
         if new.where("moved").isEmpty():
+            drop_table(both)
             return new.select("v", "root")
-        labels = new.select("v", "root")
+        labels = new

@@ -53,6 +53,7 @@ from pyspark.sql import functions as F
 from giftlink.llm import common
 from giftlink.llm.tasks import slices, worker_state
 from giftlink.llm.components import components
+from giftlink.session import drop_table
 
 SHINGLE = 5
 IN_ORDER = 2
@@ -250,7 +251,9 @@ def shared_buckets(texts: DataFrame) -> DataFrame:
     rows = texts.select("th", F.posexplode("sk").alias("t", "s"))
     sizes = rows.groupBy("t", "s").agg(F.count("*").alias("n")).where("n > 1")
     shared = common.written(rows.join(sizes, ["t", "s"]), "buckets")
-    return common.written(shared.join(shared.groupBy("th").agg(F.sum("n").alias("deg")), "th"), "degrees")
+    out = common.written(shared.join(shared.groupBy("th").agg(F.sum("n").alias("deg")), "th"), "degrees")
+    drop_table(shared)
+    return out
 
 
 def mixed_texts(shared: DataFrame, classes: DataFrame) -> DataFrame:

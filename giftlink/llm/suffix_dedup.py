@@ -53,6 +53,7 @@ from pyspark.sql import types as T
 
 from giftlink.llm import common
 from giftlink.llm.tasks import worker_state
+from giftlink.session import drop_table
 
 LENGTH = 400
 GRAM = 128
@@ -363,6 +364,7 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", length: int = LENGTH
         differ = differ | (F.min(x) != F.max(x))
     grams = rows.groupBy("g").agg(F.count("*").alias("k"), differ.alias("mixed")).where("k > 1").select("g", "mixed")
     hits = common.written(rows.join(grams, "g"), "anchor-hits")
+    drop_table(rows)
     end = F.col("s") + F.col("n") - 1 + length
     equal = hits.where(~F.col("mixed")).select("th", "s", end.alias("e"))
     classes = common.written(
