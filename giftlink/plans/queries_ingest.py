@@ -76,7 +76,7 @@ def q03_money_parse(spark, sf_dir):
 
 DOCS_EXPRS = [
     "doc_id", "source", "text",
-    "case when doc_id % 10 = 0 then 'Not shared by donor' else split_part(text, ' ', 1) end as first_name",
+    "case when doc_id % 10 = 0 then 'Not shared by donor' else text end as first_name",
 ]
 
 
