@@ -209,11 +209,16 @@ def _labels(labels: DataFrame) -> DataFrame:
 
 def fit(features: DataFrame, labels: DataFrame, rounds: int = ROUNDS, per_round: int = PER_ROUND,
         max_labelled: int = MAX_LABELLED, confident: float = CONFIDENT):
-    """The combined model. ``features`` is a written table: it is read once
-    for the labelled rows and twice per round."""
+    """The combined model. ``features`` is a written table: it is read twice
+    for the labelled rows and twice per round. Only ids, hashes and votes are
+    shuffled; the wide feature rows stay where they are and meet the few that
+    are wanted by broadcast."""
     y, spark = _labels(labels), features.sparkSession
-    seed = (features.join(y, "doc_id").select("h", "text_x", "meta_x", "y")
-            .orderBy("h", "y").limit(max_labelled).toArrow().to_pydict())
+    first = (features.select("doc_id", "h").join(y, "doc_id").orderBy("h", "y").limit(max_labelled).toArrow())
+    # a row of every one taken; rows that are alike in id and text stand for each other
+    wanted = spark.createDataFrame(first.group_by(["doc_id", "h", "y"]).aggregate([])) if first.num_rows else None
+    seed = (features.join(F.broadcast(wanted), ["doc_id", "h"]).select("h", "text_x", "meta_x", "y")
+            .orderBy("h", "y").limit(max_labelled).toArrow().to_pydict()) if first.num_rows else {"y": []}
     ys = np.array(seed["y"], np.float64)
     if not len(ys) or ys.min() == ys.max():
         return Constant(float(ys[0]) if len(ys) else 1.0)
@@ -224,17 +229,17 @@ def fit(features: DataFrame, labels: DataFrame, rounds: int = ROUNDS, per_round:
     fitted = ~held
     calibration = (xt[held], xm[held], ys[held])
     train = {"text": [xt[fitted], ys[fitted]], "meta": [xm[fitted], ys[fitted]]}
-    unlabelled = features.join(y, "doc_id", "left_anti")
     model = TwoViews(train["text"], train["meta"], calibration)
     taught = []  # (teacher, t): bounded by the rounds
     for _ in range(rounds):
-        scored = score_features(unlabelled, model, ["h", "t"])
+        scored = score_features(features, model, ["doc_id", "h", "t"])
         # a view's confident documents, as (teacher, label, confidence)
         votes = F.array(*[F.struct(F.lit(n).alias("teacher"), F.lit(v).alias("y"), c.alias("sure"))
                           for n, p in (("text", F.col("p_text")), ("meta", F.col("p_meta")))
                           for v, c in ((1, p), (0, 1 - p))])
-        sure = (scored.withColumn("vote", F.explode(F.filter(votes, lambda x: x["sure"] >= confident)))
-                .select("h", "t", "vote.*"))
+        sure = (scored.select("doc_id", "h", "t", F.filter(votes, lambda x: x["sure"] >= confident).alias("votes"))
+                .where(F.size("votes") > 0).join(y, "doc_id", "left_anti")
+                .select("h", "t", F.explode("votes").alias("vote")).select("h", "t", "vote.*"))
         if taught:
             sure = sure.join(spark.createDataFrame(taught, "teacher string, t long"), ["teacher", "t"], "left_anti")
         # texts that were not taught yet, once each; the best of every part of them, then the best of all
@@ -244,7 +249,9 @@ def fit(features: DataFrame, labels: DataFrame, rounds: int = ROUNDS, per_round:
                  .withColumn("k", F.row_number().over(first.partitionBy("teacher", "y", "part")))
                  .where(F.col("k") <= per_round)
                  .withColumn("k", F.row_number().over(first.partitionBy("teacher", "y"))).where(F.col("k") <= per_round))
-        picked = (fresh.select("teacher", "y", "k", F.col("m.h").alias("h")).join(unlabelled, "h")
+        # at most 4 * per_round rows
+        best = fresh.select("teacher", "y", "k", F.col("m.h").alias("h"))
+        picked = (features.join(F.broadcast(best), "h").join(y.select("doc_id"), "doc_id", "left_anti")
                   .select("teacher", "y", "k", "t", "text_x", "meta_x").dropDuplicates(["teacher", "y", "t"])
                   .orderBy("teacher", "y", "k").toArrow().to_pydict())
         if not picked["t"]:

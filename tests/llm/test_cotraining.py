@@ -74,3 +74,37 @@ def test_labels_of_one_class(spark, labels, want):
 def test_empty_table(spark):
     docs, lab = frames(spark, [], [(1, 1, 0)])
     assert C.classify(docs, lab).count() == 0
+
+
+def test_feature_rows_are_not_shuffled(spark):
+    """What the fit shuffles are ids and hashes; no exchange holds features,
+    whatever the size of the labels."""
+    from pyspark.sql import functions as F
+    rnd = random.Random(4)
+    texts = [" ".join("".join(rnd.choice("abcdefg") for _ in range(5)) for _ in range(40)) + ("$$$ " * 20 if i % 3 == 0 else ".")
+             for i in range(300)]
+    docs, labels = frames(spark, texts, [(i, int(i % 3 != 0), 0) for i in range(0, 300, 2)])
+    features = C.common.written(C.featurize(docs), "features")
+    plans = []
+    real, keys = type(features).toArrow, {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+
+    def spy(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(df)
+
+    before = {k: spark.conf.get(k) for k in keys}
+    type(features).toArrow = spy
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        C.fit(features, labels, rounds=1, per_round=5)
+    finally:
+        type(features).toArrow = real
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert plans
+    for plan in plans:
+        assert "SortMergeJoin [h" not in plan
+        # the wide side of every join by id stays in place
+        for line in plan.splitlines():
+            assert not ("SortMergeJoin [doc_id" in line and "Inner" in line and "text_x" in plan.split(line)[1].split("Exchange")[1][:400]), plan
